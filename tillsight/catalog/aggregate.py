@@ -247,7 +247,7 @@ def _full_sql():
     hd = f"hour(transaction_date) AS h, isodow(transaction_date) - 1 AS d"
     windows = _windows_sql((30, 60, 90, 180, 365))
     window_out = ", ".join(
-        f"frequency_{d}d, round(monetary_{d}d, 4) AS monetary_{d}d, round(avg_order_value_{d}d, 4) AS avg_order_value_{d}d"
+        f"frequency_{d}d, monetary_{d}d, avg_order_value_{d}d"
         for d in (30, 60, 90, 180, 365)
     )
     return f"""WITH base AS (SELECT customer_id, {LIFETIME}, {windows}, {TARGET} FROM header GROUP BY customer_id {HAS_PAST}),
@@ -263,16 +263,16 @@ def _full_sql():
       vs AS (SELECT customer_id, count(DISTINCT store_id) AS unique_stores, count(DISTINCT store_region) AS unique_regions,
                sum(h)::DOUBLE / count(*) AS avg_purchase_hour, sum(CAST(d >= 5 AS INT))::DOUBLE / count(*) AS weekend_transaction_pct FROM v GROUP BY 1),
       gp AS ({_gaps('header', PAST)})
-      SELECT b.customer_id, first_purchase_date, recency_days, frequency_total, round(monetary_total, 4) AS monetary_total, round(avg_order_value, 4) AS avg_order_value,
+      SELECT b.customer_id, first_purchase_date, recency_days, frequency_total, monetary_total AS monetary_total, avg_order_value AS avg_order_value,
         max_order_value, min_order_value, std_order_value, {window_out},
         coalesce(unique_categories, 0) AS unique_categories, coalesce(unique_products, 0) AS unique_products,
         coalesce(total_items_purchased, 0) AS total_items_purchased, coalesce(cat.product_category, 'Unknown') AS top_category, {share_out},
         unique_stores, unique_regions, CAST(st.store_id AS VARCHAR) AS primary_store_id, rg.store_region AS primary_region,
         loyalty_status, total_loyalty_points, segment_id, greatest({sql_days(CUT, 'customer_since::TIMESTAMP')}, 0) AS tenure_days,
-        round(avg_days_between_purchases, 4) AS avg_days_between_purchases, std_days_between_purchases, round(avg_purchase_hour, 4) AS avg_purchase_hour,
+        avg_days_between_purchases AS avg_days_between_purchases, std_days_between_purchases, avg_purchase_hour AS avg_purchase_hour,
         CASE WHEN h >= 6 AND h < 12 THEN 'morning' WHEN h >= 12 AND h < 17 THEN 'afternoon' WHEN h >= 17 AND h < 21 THEN 'evening' ELSE 'night' END AS preferred_time_of_day,
         ['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][CAST(d AS INT) + 1] AS preferred_day,
-        round(weekend_transaction_pct, 4) AS weekend_transaction_pct, round(future_spend_30d, 4) AS future_spend_30d, future_transactions_30d, will_purchase_30d
+        weekend_transaction_pct AS weekend_transaction_pct, future_spend_30d AS future_spend_30d, future_transactions_30d, will_purchase_30d
       FROM base b LEFT JOIN basket USING (customer_id) LEFT JOIN cat ON cat.customer_id = b.customer_id AND cat.rn = 1
         LEFT JOIN st ON st.customer_id = b.customer_id AND st.rn = 1 LEFT JOIN rg ON rg.customer_id = b.customer_id AND rg.rn = 1
         LEFT JOIN mh ON mh.customer_id = b.customer_id AND mh.rn = 1 LEFT JOIN md ON md.customer_id = b.customer_id AND md.rn = 1
@@ -282,14 +282,16 @@ def _full_sql():
 
 @query("j_feature_table", "header lines products stores customers", _full_sql())
 def feature_table(t):
-    return rounded(fj.full_features(t.header, t.lines, t.products, t.stores, t.customers, FULL, CATEGORIES))
+    out = fj.full_features(t.header, t.lines, t.products, t.stores, t.customers, FULL, CATEGORIES)
+    noisy = [c for c in out.columns if c.startswith(("std_", "pct_"))]
+    return out.withColumns({c: F.round(c, 4) for c in noisy})
 
 
 @query(
     "e_features_right", "header customers",
     f"""WITH h AS (SELECT *, transaction_date <= {CUT} AS past FROM header)
         SELECT b.customer_id, recency_days, total_frequency, total_monetary, frequency_30d, frequency_60d, frequency_90d,
-               monetary_30d, monetary_60d, monetary_90d, round(avg_order_value, 4) AS avg_order_value, num_stores_visited, is_weekend_shopper,
+               monetary_30d, monetary_60d, monetary_90d, avg_order_value, num_stores_visited, is_weekend_shopper,
                CAST(dense_rank() OVER (ORDER BY loyalty_status) - 1 AS BIGINT) AS loyalty_status_encoded,
                CAST(dense_rank() OVER (ORDER BY segment_id) - 1 AS BIGINT) AS segment_id_encoded,
                {sql_days(CUT, 'customer_since::TIMESTAMP')} AS customer_tenure_days, future_spend_30d
@@ -309,10 +311,8 @@ def feature_table(t):
 )
 def features_right(t):
     out = fj.rfm_features(t.header, t.lines, t.products, t.customers, RIGHT45)
-    return rounded(
-        out.select(
-            KEY, "recency_days", "total_frequency", "total_monetary", "frequency_30d", "frequency_60d", "frequency_90d",
-            "monetary_30d", "monetary_60d", "monetary_90d", "avg_order_value", "num_stores_visited", "is_weekend_shopper",
-            "loyalty_status_encoded", "segment_id_encoded", "customer_tenure_days", "future_spend_30d",
-        )
+    return out.select(
+        KEY, "recency_days", "total_frequency", "total_monetary", "frequency_30d", "frequency_60d", "frequency_90d",
+        "monetary_30d", "monetary_60d", "monetary_90d", "avg_order_value", "num_stores_visited", "is_weekend_shopper",
+        "loyalty_status_encoded", "segment_id_encoded", "customer_tenure_days", "future_spend_30d",
     )

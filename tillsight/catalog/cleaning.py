@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from tillsight.catalog.registry import query, rounded, sql_parse_date, sql_title
-from tillsight.functions.columns import day_text, parse_date, timestamp_text
+from tillsight.functions.columns import day_text, lenient_timestamp, parse_date, strict_timestamp, timestamp_text
 from tillsight.operators import cleaning as c
 from tillsight.operators import routing as r
-from tillsight.functions.columns import lenient_timestamp, strict_timestamp
+from tillsight.plans.cleaning_job import clean_all
 
 TS = "transaction_date"
 
@@ -154,8 +154,6 @@ def header_outliers(t):
        FROM tagged_lines l LEFT JOIN ({PRICED}) p ON l.product_id = p.product_id WHERE l.rejection_reason IS NULL""",
 )
 def clean_lines(t):
-    from tillsight.plans.cleaning_job import clean_all
-
     raw = {
         "stores": t.raw_stores, "products": t.raw_products, "customer_details": t.raw_customers,
         "promotion_details": t.raw_promotions, "loyalty_rules": t.raw_rules,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tillsight.catalog.registry import CUT, query, rounded, sql_days
 from tillsight.catalog.views import SPEC, customer_table, order_profile, scored
 from tillsight.functions.columns import clip, day_part, pad_id, weekday_name
-from tillsight.functions.ordering import scalars
+from tillsight.functions.ordering import attach
 from tillsight.operators import derived as d
 from tillsight.operators.customer import basket_features, share_column
 from tillsight.operators.explore import customer_rfm
@@ -91,9 +91,11 @@ POLY = {
 }
 
 
-@query("e_poly", "profile", _sql(POLY | {"monetary_squared": "total_monetary * total_monetary"}))
+@query("e_poly", "profile", _sql(POLY).replace(" FROM profile", ", total_monetary * total_monetary AS monetary_squared FROM profile"))
 def poly(t):
-    return _pick(d.with_columns(order_profile(t), d.polynomials()), [*POLY, "monetary_squared"])
+    # The square is exact in both engines and too large to be rounded to 6 places.
+    out = d.with_columns(order_profile(t), d.polynomials())
+    return out.select(KEY, *[F.round(c, 6).alias(c) for c in POLY], "monetary_squared")
 
 
 @query(
@@ -133,9 +135,8 @@ def fills(t):
 )
 def cap_log(t):
     split = temporal_split(customer_table(t))
-    cap = scalars(d.target_cap(split.filter("split = 'train'")))["cap"]
-    capped = clip("future_spend_30d", high=cap)
-    return rounded(split.select(KEY, capped.alias("capped"), d.log_target(capped).alias("logged"), d.unlog_target(d.log_target(capped)).alias("back")))
+    capped = clip("future_spend_30d", high=F.col("_k.cap"))
+    return rounded(attach(split, d.target_cap(split.filter("split = 'train'"))).select(KEY, capped.alias("capped"), d.log_target(capped).alias("logged"), d.unlog_target(d.log_target(capped)).alias("back")))
 
 
 @query(
@@ -199,9 +200,9 @@ def band(t):
 )
 def score_rates(t):
     base = scored(t)
-    m = scalars(base.agg(F.avg("future_spend_30d").alias("m")))["m"]
-    rates = d.score_rates("predicted", m)
-    return rounded(d.with_columns(base, rates).select(KEY, *rates))
+    rates = d.score_rates("predicted", F.col("_k.m"))
+    out = attach(base, base.agg(F.avg("future_spend_30d").alias("m")))
+    return rounded(d.with_columns(out, rates).select(KEY, *rates))
 
 
 SEGMENTS = """WITH q AS (SELECT quantile_cont(recency, 1/3::DOUBLE) AS r1, quantile_cont(recency, 2/3::DOUBLE) AS r2, quantile_cont(frequency, 1/3::DOUBLE) AS f1,

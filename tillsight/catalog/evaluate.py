@@ -6,8 +6,10 @@ from tillsight.catalog.registry import query, rounded
 from tillsight.catalog.views import customer_table, scored
 from tillsight.models import evaluate as ev
 from tillsight.models.baselines import BASELINES, with_baselines
+from tillsight.models.twostage import hard_decision, soft_decision
 from tillsight.operators import bins as b
 from tillsight.operators.splits import temporal_split
+from tillsight.plans.training_job import split_features
 
 Y = "future_spend_30d"
 
@@ -27,8 +29,8 @@ BASE = """WITH c AS (SELECT quantile_cont(future_spend_30d, 0.99) AS cap FROM sp
 
 
 def _baselines(t):
-    split = temporal_split(customer_table(t))
-    return with_baselines(split.filter("split = 'train'"), split.filter("split = 'test'"))
+    train, test = split_features(customer_table(t))
+    return with_baselines(train, test)
 
 
 @query(
@@ -128,13 +130,11 @@ def threshold_grid(t):
     return rounded(ev.threshold_grid(scored(t), Y, "probability", "amount"))
 
 
-@query("m_soft_hard", "scored", "SELECT customer_id, round(probability * amount, 4) AS predicted_spend, round(CASE WHEN probability >= 0.5 THEN amount ELSE 0 END, 4) AS predicted_spend_hard FROM scored")
+@query("m_soft_hard", "scored", "SELECT customer_id, probability * amount AS predicted_spend, CASE WHEN probability >= 0.5 THEN amount ELSE 0 END AS predicted_spend_hard FROM scored")
 def soft_hard(t):
-    from tillsight.models.twostage import hard_decision, soft_decision
-
     rows = scored(t).withColumnsRenamed({"probability": "spend_probability", "amount": "expected_if_spend"})
     out = hard_decision(soft_decision(rows, "spend_probability", "expected_if_spend"))
-    return rounded(out.select("customer_id", "predicted_spend", "predicted_spend_hard"))
+    return out.select("customer_id", "predicted_spend", "predicted_spend_hard")
 
 
 @query(

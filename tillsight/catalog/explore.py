@@ -246,7 +246,7 @@ def prediction_tiers(t):
     return ex.value_shares(tiers, "spend_category", "customers")
 
 
-@query("a_rounding", "cust", "SELECT customer_id, round_even(total_monetary / total_frequency, 2) AS mean_2dp FROM cust")
+@query("a_rounding", "cust", "SELECT customer_id, round_even(total_monetary / total_frequency * 100, 0) / 100 AS mean_2dp FROM cust")
 def rounding(t):
     value = F.col("total_monetary") / F.col("total_frequency")
     return customer_table(t).select("customer_id", round_even(value, 2).alias("mean_2dp"))

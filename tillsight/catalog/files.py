@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillsight.catalog.registry import query, rounded
 from tillsight.catalog.views import customer_table, scored
 from tillsight.functions.columns import clip, round_even
+from tillsight.models.evaluate import evaluate_models
 from tillsight.models.scoring import describe_scores
 from tillsight.operators import explore as ex
 from tillsight.operators import routing as r
@@ -50,7 +51,7 @@ def derived_sink(t):
     "io_predictions", "scored",
     """SELECT customer_id, s AS predicted_spend_30d, CASE WHEN s <= 0 THEN 'Zero' WHEN s <= 25 THEN 'Low' WHEN s <= 75 THEN 'Medium'
          WHEN s <= 200 THEN 'High' ELSE 'VIP' END AS spend_category, round(greatest(s - 42.93, 0), 4) AS prediction_range_low, round(s + 42.93, 4) AS prediction_range_high
-       FROM (SELECT customer_id, round_even(predicted / 700, 2) AS s FROM scored)""",
+       FROM (SELECT customer_id, round_even(predicted / 700 * 100, 0) / 100 AS s FROM scored)""",
 )
 def predictions(t):
     score = round_even(clip(F.col("predicted") / 700, low=0.0), 2).alias("predicted_spend_30d")
@@ -65,7 +66,5 @@ def feature_catalogue(t):
 
 @query("io_metric_sink")
 def metric_sink(t):
-    from tillsight.models.evaluate import evaluate_models
-
     board = evaluate_models(scored(t), "future_spend_30d", {"Recent": "predicted", "Lifetime": "amount"})
     return t.spark.read.parquet(io.write_table(board, _folder(t), "model_comparison"))

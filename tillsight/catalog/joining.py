@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 
 from tillsight.catalog.registry import FUTURE, PAST, query, rounded
 from tillsight.catalog.views import SPEC, customer_table
+from tillsight.functions.ordering import attach, exact_quantiles
 from tillsight.operators import customer as cu
 from tillsight.operators import explore as ex
 from tillsight.operators import joins as j
 from tillsight.operators import routing as r
 from tillsight.operators.periods import future_rows, history_rows, known_customers
 from tillsight.operators.profiling import key_overlap
+from tillsight.operators.splits import temporal_split
 
 
 @query("j_line_product", "lines products", "SELECT line_item_id, l.product_id, product_category FROM lines l LEFT JOIN products USING (product_id)")
@@ -106,10 +108,8 @@ def customers_spend(t):
     """SELECT transaction_id, round(total_amount::DOUBLE / (SELECT quantile_cont(total_amount::DOUBLE, 0.99) FROM header), 4) AS share_of_p99 FROM header""",
 )
 def scalar_broadcast(t):
-    from tillsight.functions.ordering import exact_quantiles, scalars
-
-    p99 = scalars(exact_quantiles(t.header, "total_amount", {"q": 0.99}))["q"]
-    return rounded(t.header.select("transaction_id", (F.col("total_amount").cast("double") / p99).alias("share_of_p99")))
+    rows = attach(t.header, exact_quantiles(t.header, "total_amount", {"q": 0.99}))
+    return rounded(rows.select("transaction_id", (F.col("total_amount").cast("double") / F.col("_k.q")).alias("share_of_p99")))
 
 
 @query(
@@ -118,8 +118,6 @@ def scalar_broadcast(t):
        SELECT customer_id FROM split WHERE split = 'test')""",
 )
 def overlap(t):
-    from tillsight.operators.splits import temporal_split
-
     split = temporal_split(customer_table(t))
     return key_overlap(split.filter("split = 'train'"), split.filter("split = 'test'"), "customer_id")
 

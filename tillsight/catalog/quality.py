@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillsight.catalog.registry import query, rounded
-from tillsight.catalog.views import customer_table
+from tillsight.catalog.views import customer_table, order_profile
 from tillsight.functions.columns import null_tokens_to_null, valid_email, valid_phone
 from tillsight.operators import profiling as p
 from tillsight.operators import routing as r
@@ -123,8 +123,6 @@ def iqr_outliers(t):
 )
 def rule_errors(t):
     ranges = [x for x in p.FEATURE_RANGES if x[0] not in ("total_loyalty_points", "num_stores_visited")]
-    from tillsight.catalog.views import order_profile
-
     out = p.validate_features(order_profile(t), ranges)
     return out.select("customer_id", F.size("errors").alias("n_errors"), "is_valid", F.concat_ws("; ", "errors").alias("messages"))
 

@@ -93,12 +93,12 @@ def split_summary(t):
 
 @query("p_label_codes", "products", "SELECT product_category, CAST(row_number() OVER (ORDER BY product_category) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT product_category FROM products)")
 def codes(t):
-    return label_codes(t.products, "product_category")
+    return label_codes(t.products, ["product_category"]).select(F.col("value").alias("product_category"), "code")
 
 
 @query("p_label_codes_names", "customers", "SELECT first_name, CAST(row_number() OVER (ORDER BY first_name) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT first_name FROM customers)")
 def name_codes(t):
-    return label_codes(t.customers, "first_name")
+    return label_codes(t.customers, ["first_name"]).select(F.col("value").alias("first_name"), "code")
 
 
 @query(
@@ -107,7 +107,7 @@ def name_codes(t):
          CAST(dense_rank() OVER (ORDER BY loyalty_status) - 1 AS BIGINT) AS loyalty_status_encoded FROM customers""",
 )
 def encode(t):
-    out = label_encode(label_encode(t.customers, "segment_id"), "loyalty_status")
+    out = label_encode(t.customers, ["segment_id", "loyalty_status"])
     return out.select(KEY, "segment_id_encoded", "loyalty_status_encoded")
 
 
@@ -116,8 +116,8 @@ def encode(t):
     """SELECT customer_id, coalesce(CASE WHEN loyalty_status IN ('Bronze', 'Silver') THEN CASE loyalty_status WHEN 'Bronze' THEN 0 ELSE 1 END END, 0)::BIGINT AS loyalty_status_encoded FROM customers""",
 )
 def unknown_code(t):
-    known = label_codes(t.customers.filter(F.col("loyalty_status").isin("Bronze", "Silver")), "loyalty_status")
-    return label_encode(t.customers, "loyalty_status", known, unknown=0).select(KEY, "loyalty_status_encoded")
+    known = label_codes(t.customers.filter(F.col("loyalty_status").isin("Bronze", "Silver")), ["loyalty_status"])
+    return label_encode(t.customers, ["loyalty_status"], known, unknown=0).select(KEY, "loyalty_status_encoded")
 
 
 @query(

@@ -175,8 +175,9 @@ def pad_id(prefix: str, number: Column | str, width: int) -> Column:
 
 # -- numbers ------------------------------------------------------------------------
 def round_even(c: Column | str, digits: int = 2) -> Column:
-    """Banker's rounding, as the reference's numeric library rounds."""
-    return F.bround(col(c), digits)
+    """Scale, round half to even, scale back (the rule of array libraries)."""
+    scale = float(10**digits)
+    return F.rint(col(c).cast("double") * scale) / scale
 
 
 def clip(c: Column | str, low: float | Column | None = None, high: float | Column | None = None) -> Column:

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.columns import col
+from tillsight.session import cut_lineage
 
 Rank = Callable[[Column], Column]
 
@@ -69,48 +70,52 @@ def order_statistics(
     (none where the rank is outside the group). Rows whose last level is null
     are ignored, as are null groups.
     """
-    by = list(by)
+    by, labels = list(by), list(ranks)
     names = [f"_level{i}" for i in range(len(levels))]
     base = df.select(*by, *[c.alias(n) for c, n in zip(levels, names)])
     for c in [*by, names[-1]]:
         base = base.filter(F.col(c).isNotNull())
 
-    targets = None
-    for depth, level in enumerate(names):
+    # The first level counts everything, once for all ranks.
+    level = names[0]
+    group = Window.partitionBy(*by)
+    counts = base.groupBy(*by, level).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_size", F.sum("_n").over(group)).withColumn("_upto", _running(group, level))
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("_id"), ranks[name](F.col("_size")).cast("long").alias("_rank"))
+            for i, name in enumerate(labels)
+        ]
+    )
+    rows = counts.withColumn("_w", F.explode(wanted)).select("*", "_w._id", "_w._rank")
+    targets = _hit(rows, [*by, level, "_id", "_size"])
+
+    # Later levels count the rows of the buckets that hold a rank, once per rank.
+    for depth, level in enumerate(names[1:], 1):
         upper = names[:depth]
-        rows = base
-        if targets is not None:
-            picked = targets.select(*by, *upper).distinct()
-            # Without groups there is one row per rank at most: safe to broadcast.
-            # With groups the size is unknown and left to the adaptive planner.
-            rows = base.join(picked if by else F.broadcast(picked), [*by, *upper], "left_semi")
-        counts = rows.groupBy(*by, *upper, level).agg(F.count(F.lit(1)).alias("_n"))
-        group = Window.partitionBy(*by, *upper)
-        upto = F.sum("_n").over(group.orderBy(level).rowsBetween(Window.unboundedPreceding, 0))
-        counts = counts.withColumn("_upto", upto)
-        if targets is None:
-            size = F.sum("_n").over(group)
-            wanted = F.array(
-                *[
-                    F.struct(F.lit(name).alias("rank_name"), rank(F.col("_size")).cast("long").alias("_rank"))
-                    for name, rank in ranks.items()
-                ]
-            )
-            found = counts.withColumn("_size", size).withColumn("_w", F.explode(wanted))
-            found = found.select("*", "_w.rank_name", "_w._rank").drop("_w")
-        else:
-            small = targets if by else F.broadcast(targets)
-            found = counts.join(small, [*by, *upper])
-        before = F.col("_upto") - F.col("_n")
-        found = found.filter((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
-        targets = found.select(
-            *by, *upper, level, "rank_name", "_size", (F.col("_rank") - before).alias("_rank")
-        )
+        # Without groups there is one target per rank: a proven size, so broadcast.
+        # With groups the size is unknown and left to the adaptive planner.
+        inside = base.join(targets if by else F.broadcast(targets), [*by, *upper])
+        counts = inside.groupBy(*by, "_id", "_size", "_rank", *upper, level).agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.withColumn("_upto", _running(Window.partitionBy(*by, "_id"), level))
+        targets = _hit(counts, [*by, *upper, level, "_id", "_size"])
+    name_of = F.get(F.array(*[F.lit(n) for n in labels]), F.col("_id"))
     return targets.select(
-        *by, "rank_name", F.col("_size").alias("row_count"), F.col(names[-1]).alias("value")
+        *by, name_of.alias("rank_name"), F.col("_size").alias("row_count"), F.col(names[-1]).alias("value")
     )
 
 
+def _running(group, level: str) -> Column:
+    return F.sum("_n").over(group.orderBy(level).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _hit(counts: DataFrame, keep: list[str]) -> DataFrame:
+    """Buckets that hold their rank, and the rank counted from the bucket's start."""
+    before = F.col("_upto") - F.col("_n")
+    hit = counts.filter((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
+    return hit.select(*keep, (F.col("_rank") - before).alias("_rank"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: Column | str,
@@ -143,14 +148,15 @@ def exact_median(df: DataFrame, value: Column | str, by: Sequence[str] = (), nam
     return exact_quantiles(df, value, {name: 0.5}, by)
 
 
-def scalars(one_row: DataFrame) -> dict[str, Column]:
-    """Columns of a one-row frame as scalar subqueries, usable in any expression.
+def attach(df: DataFrame, one_row: DataFrame, name: str = "_k") -> DataFrame:
+    """Add the columns of a one-row frame as one struct column.
 
-    Spark runs the subquery once and plugs in the values; there is no join.
+    It is a scalar subquery: Spark computes the row once and plugs it in; there
+    is no join. Read the parts as ``<name>.<column>``. One struct per frame keeps
+    the plan small, where a subquery per value would be planned again each time.
     """
-    names = one_row.columns
-    row = one_row.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row")).scalar()
-    return {n: row.getField(n) for n in names}
+    row = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("row"))
+    return df.withColumn(name, row.scalar())
 
 
 def running_sums(
@@ -189,3 +195,21 @@ def running_sums(
         for m in measures
     ]
     return out.select(F.col(names[-1]).alias("value"), *measures, *before)
+
+
+def positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Adds the 0-based ``position`` of every row in the order of unique keys.
+
+    The rows are range-partitioned, so each partition holds one stretch of the
+    order, and checkpointed, so a lost task cannot draw other boundaries. The
+    offsets are one row per partition: a proven size, so they are broadcast.
+    """
+    order = list(order)
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    placed = cut_lineage(ranged)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    out = placed.withColumn("_row", inside).join(F.broadcast(offsets), "_part")
+    return out.withColumn("position", F.col("_before") + F.col("_row") - 1).drop("_part", "_row", "_before")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.functions.columns import clip, mean
-from tillsight.functions.ordering import scalars
+from tillsight.functions.ordering import attach
 from tillsight.operators.derived import target_cap
 
 
@@ -16,26 +16,23 @@ def with_baselines(train: DataFrame, test: DataFrame, target: str = "future_spen
     mean of the log target, transformed back. The cap is the 99th percentile of
     the training spenders.
     """
-    cap = scalars(target_cap(train, target))["cap"]
-    y = clip(F.col(target).cast("double"), high=cap)
+    y = clip(F.col(target).cast("double"), high=F.col("_k.cap"))
     spends = F.col(target) > 0
-    k = scalars(
-        train.agg(
-            mean(y).alias("mean"),
-            mean(spends.cast("int")).alias("rate"),
-            mean(F.when(spends, y)).alias("spender_mean"),
-            mean(F.log1p(y)).alias("log_mean"),
-        )
-    )
-    return test.withColumns(
-        {
-            "target_capped": y,
-            "pred_zero": F.lit(0.0),
-            "pred_mean": k["mean"],
-            "pred_conditional": k["rate"] * k["spender_mean"],
-            "pred_log_mean": F.expm1(k["log_mean"]),
-        }
+    constants = attach(train, target_cap(train, target)).agg(
+        F.max("_k.cap").alias("cap"),
+        mean(y).alias("mean"),
+        mean(spends.cast("int")).alias("rate"),
+        mean(F.when(spends, y)).alias("spender_mean"),
+        mean(F.log1p(y)).alias("log_mean"),
     )
+    predictions = {
+        "target_capped": y,
+        "pred_zero": F.lit(0.0),
+        "pred_mean": F.col("_k.mean"),
+        "pred_conditional": F.col("_k.rate") * F.col("_k.spender_mean"),
+        "pred_log_mean": F.expm1("_k.log_mean"),
+    }
+    return attach(test, constants).withColumns(predictions).drop("_k")
 
 
 BASELINES = {

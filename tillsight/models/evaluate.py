@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillsight.functions.columns import clip, col
-from tillsight.functions.ordering import numeric_levels, running_sums, scalars
+from tillsight.functions.ordering import attach, numeric_levels, running_sums
 
 
 def regression_metrics(df: DataFrame, actual: Column | str, predicted: Column | str, by: Sequence[str] = ()) -> DataFrame:
@@ -70,13 +70,12 @@ def log_loss(df: DataFrame, label: Column | str, probability: Column | str, epsi
 
 def improvements(board: DataFrame, baseline: str) -> DataFrame:
     """MAE gain in percent and R2 gain over one baseline row of the board."""
-    base = scalars(board.filter(F.col("model") == baseline).agg(F.max("mae").alias("mae"), F.max("r2").alias("r2")))
-    return board.withColumns(
-        {
-            "mae_improvement_pct": F.try_divide((base["mae"] - F.col("mae")) * 100, base["mae"]),
-            "r2_gain": F.col("r2") - base["r2"],
-        }
-    )
+    base = board.filter(F.col("model") == baseline).agg(F.max("mae").alias("mae"), F.max("r2").alias("r2"))
+    gains = {
+        "mae_improvement_pct": F.try_divide((F.col("_k.mae") - F.col("mae")) * 100, F.col("_k.mae")),
+        "r2_gain": F.col("r2") - F.col("_k.r2"),
+    }
+    return attach(board, base).withColumns(gains).drop("_k")
 
 
 def fit_quality(train_rmse: Column | str, test_rmse: Column | str) -> dict[str, Column]:

@@ -8,31 +8,31 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillsight.functions.ordering import running_sums, scalars
+from tillsight.functions.ordering import attach, positions
 
 
-def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with their 0-based alphabetical code: ``column, code``.
+def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values with their 0-based alphabetical code: ``field, value, code``.
 
-    The code is the number of smaller values, found per leading characters, so
-    even a column with very many values is not sorted in one task.
+    All columns are coded in one pass over the frame.
     """
-    c = F.col(column).cast("string")
-    values = df.select(c.alias("v")).filter(F.col("v").isNotNull()).distinct()
-    levels = [F.substring("v", 1, 3), F.substring("v", 1, 6), F.col("v")]
-    ranked = running_sums(values, levels, {"one": F.lit(1)})
-    return ranked.select(F.col("value").alias(column), F.col("one_before").cast("long").alias("code"))
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct()
+    placed = positions(values, ["field", "value"])
+    first = placed.groupBy("field").agg(F.min("position").alias("_first"))
+    # One row per encoded column.
+    return placed.join(F.broadcast(first), "field").select("field", "value", (F.col("position") - F.col("_first")).alias("code"))
 
 
-def label_encode(df: DataFrame, column: str, codes: DataFrame | None = None, unknown: int | None = None) -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], codes: DataFrame | None = None, unknown: int | None = None) -> DataFrame:
     """Adds ``<column>_encoded``; values without a code become ``unknown``."""
-    codes = label_codes(df, column) if codes is None else codes
-    named = codes.select(F.col(column).alias("_value"), F.col("code").alias("_code"))
-    out = df.join(named, F.col(column).cast("string") == F.col("_value"), "left")
-    code: Column = F.col("_code")
-    if unknown is not None:
-        code = F.coalesce(code, F.lit(unknown))
-    return out.withColumn(f"{column}_encoded", code).drop("_value", "_code")
+    codes = label_codes(df, columns) if codes is None else codes
+    for c in columns:
+        own = codes.filter(F.col("field") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        code: Column = F.col("_code") if unknown is None else F.coalesce("_code", F.lit(unknown))
+        df = df.join(own, F.col(c).cast("string") == F.col("_value"), "left").withColumn(f"{c}_encoded", code)
+        df = df.drop("_value", "_code")
+    return df
 
 
 def scaling_constants(train: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,14 +47,13 @@ def scaling_constants(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 def standard_scale(df: DataFrame, train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns centred and scaled by constants of the training rows (a constant
     column is only centred)."""
-    k = scalars(scaling_constants(train, columns))
-    return df.withColumns(
-        {
-            c: (F.col(f"`{c}`").cast("double") - k[f"{c}_mean"])
-            / F.when(k[f"{c}_std"] == 0, F.lit(1.0)).otherwise(k[f"{c}_std"])
-            for c in columns
-        }
-    )
+    k = lambda name: F.col("_k").getField(name)
+    scaled = {
+        c: (F.col(f"`{c}`").cast("double") - k(f"{c}_mean"))
+        / F.when(k(f"{c}_std") == 0, F.lit(1.0)).otherwise(k(f"{c}_std"))
+        for c in columns
+    }
+    return attach(df, scaling_constants(train, columns)).withColumns(scaled).drop("_k")
 
 
 def vector_stages(numeric: Sequence[str], categorical: Sequence[str] = (), scale: bool = True, output: str = "features") -> list:

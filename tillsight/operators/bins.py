@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.columns import col
-from tillsight.functions.ordering import scalars
+from tillsight.functions.ordering import attach
 from tillsight.operators.profiling import iqr_bounds
 
 
@@ -21,9 +21,10 @@ def bin_number(x: Column, low: Column, high: Column, bins: int) -> Column:
 def histogram(df: DataFrame, value: Column | str, bins: int = 50) -> DataFrame:
     """Non-empty bins: number, lower edge, upper edge, rows."""
     rows = df.select(col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    edge = scalars(rows.agg(F.min("x").alias("low"), F.max("x").alias("high")))
-    low, high = edge["low"], edge["high"]
-    counts = rows.groupBy(bin_number(F.col("x"), low, high, bins).alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    edges = rows.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    low, high = F.col("_k.low"), F.col("_k.high")
+    placed = attach(rows, edges).select(bin_number(F.col("x"), low, high, bins).alias("bin"))
+    counts = attach(placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows")), edges)
     flat = high == low
     start = F.when(flat, low - 0.5).otherwise(low)
     width = F.when(flat, F.lit(1.0)).otherwise(high - low) / bins
@@ -41,26 +42,23 @@ def count_histogram(df: DataFrame, value: str) -> DataFrame:
 
 def box_summary(df: DataFrame, value: str, multiplier: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the last value inside the fences, number of fliers."""
-    b = scalars(iqr_bounds(df, value, multiplier))
     x = F.col(value).cast("double")
-    inside = (x >= b["low"]) & (x <= b["high"])
-    return df.agg(
+    inside = (x >= F.col("_k.low")) & (x <= F.col("_k.high"))
+    bounds = iqr_bounds(df, value, multiplier)
+    out = attach(df, bounds).agg(
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
         F.count_if(~inside).alias("fliers"),
-    ).select(b["q1"].alias("q1"), b["q3"].alias("q3"), "whisker_low", "whisker_high", "fliers")
+    )
+    return attach(out, bounds).select("_k.q1", "_k.q3", "whisker_low", "whisker_high", "fliers")
 
 
 def density(df: DataFrame, x: Column | str, y: Column | str, bins: int = 20) -> DataFrame:
     """Rows per cell of an equal-width grid: the table behind a scatter plot."""
     rows = df.select(col(x).cast("double").alias("x"), col(y).cast("double").alias("y")).dropna()
-    e = scalars(
-        rows.agg(
-            F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
-        )
-    )
-    cells = rows.groupBy(
-        bin_number(F.col("x"), e["x0"], e["x1"], bins).alias("x_bin"),
-        bin_number(F.col("y"), e["y0"], e["y1"], bins).alias("y_bin"),
+    edges = rows.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    cells = attach(rows, edges).select(
+        bin_number(F.col("x"), F.col("_k.x0"), F.col("_k.x1"), bins).alias("x_bin"),
+        bin_number(F.col("y"), F.col("_k.y0"), F.col("_k.y1"), bins).alias("y_bin"),
     )
-    return cells.agg(F.count(F.lit(1)).alias("rows"))
+    return cells.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("rows"))

@@ -15,8 +15,8 @@ from tillsight.functions.columns import (
     valid_email,
     valid_phone,
 )
-from tillsight.functions.ordering import exact_median, scalars
-from tillsight.operators.profiling import outlier_mask
+from tillsight.functions.ordering import attach, exact_median
+from tillsight.operators.profiling import detect_outliers
 
 # Fixed values -------------------------------------------------------------------
 DEFAULT_OPENING_DATE = "2018-01-01"
@@ -80,9 +80,8 @@ def repaired_stock(c: Column | str = "current_stock_level") -> Column:
 def impute_price(products: DataFrame, price: str = "unit_price", category: str = "product_category") -> DataFrame:
     """Null price: median of the category, else median of all prices."""
     by_category = exact_median(products, price, [category], "_category_median")
-    overall = scalars(exact_median(products, price, name="m"))
-    joined = products.join(by_category, category, "left")
-    filled = F.coalesce(F.col(price).cast("double"), F.col("_category_median"), overall["m"])
+    joined = attach(products.join(by_category, category, "left"), exact_median(products, price, name="m"))
+    filled = F.coalesce(F.col(price).cast("double"), F.col("_category_median"), F.col("_k.m"))
     return joined.withColumn(price, filled).select(*products.columns)
 
 
@@ -196,5 +195,5 @@ def impute_line_amount(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 def flag_header_outliers(header: DataFrame, amount: str = "total_amount") -> DataFrame:
     """is_outlier = 1 outside three inter-quartile ranges of the accepted rows."""
-    mask = outlier_mask(header, amount, HEADER_OUTLIER_MULTIPLIER)
-    return header.withColumn("is_outlier", mask.cast("int"))
+    flagged = detect_outliers(header, amount, HEADER_OUTLIER_MULTIPLIER)
+    return flagged.withColumn("is_outlier", F.col("is_outlier").cast("int"))

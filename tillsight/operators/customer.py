@@ -22,7 +22,7 @@ from tillsight.functions.columns import (
     total,
     weekday_name,
 )
-from tillsight.functions.ordering import exact_median, scalars
+from tillsight.functions.ordering import attach, exact_median
 from tillsight.operators.periods import FeatureSpec
 
 KEY = "customer_id"
@@ -172,8 +172,8 @@ def purchase_cadence(header: DataFrame, spec: FeatureSpec | None = None) -> Data
 def average_gap(header: DataFrame, spec: FeatureSpec | None = None) -> DataFrame:
     """Mean gap; single-purchase customers get the median of the others."""
     gaps = purchase_gaps(header, spec).select(KEY, gap_mean().alias("avg_gap_days"))
-    middle = scalars(exact_median(gaps, "avg_gap_days", name="m"))
-    return gaps.withColumn("avg_gap_days", F.coalesce("avg_gap_days", middle["m"]))
+    filled = attach(gaps, exact_median(gaps, "avg_gap_days", name="m"))
+    return filled.select(KEY, F.coalesce("avg_gap_days", "_k.m").alias("avg_gap_days"))
 
 
 # -- line grain -------------------------------------------------------------------------
@@ -306,7 +306,7 @@ def order_profile(sales: DataFrame, spec: FeatureSpec, with_target: bool = True)
 
 def stores_visited(header: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Distinct stores per customer, folded to customer and store first."""
-    seen = header.filter(spec.history(TS) & F.col(KEY).isNotNull()).groupBy(KEY, "store_id").agg()
+    seen = header.filter(spec.history(TS) & F.col(KEY).isNotNull()).select(KEY, "store_id").distinct()
     return seen.groupBy(KEY).agg(F.count("store_id").alias("num_stores_visited"))
 
 

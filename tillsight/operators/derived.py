@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.columns import clip, col, days_between, ratio
-from tillsight.functions.ordering import exact_quantiles, scalars
+from tillsight.functions.ordering import attach, exact_quantiles
 from tillsight.operators.periods import FeatureSpec
 
 # Fixed values -----------------------------------------------------------------------
@@ -165,20 +165,22 @@ def behaviour_segments(rfm: DataFrame) -> DataFrame:
     the lower third of recency, lapsed the upper third; strong and weak likewise
     for frequency and spend.
     """
-    q = lambda name: {f"{name}_1": 1 / 3, f"{name}_2": 2 / 3}
-    r = scalars(exact_quantiles(rfm, "recency", q("r")))
-    f = scalars(exact_quantiles(rfm, "frequency", q("f")))
-    m = scalars(exact_quantiles(rfm, "monetary", q("m")))
-    recent, lapsed = F.col("recency") <= r["r_1"], F.col("recency") > r["r_2"]
-    frequent, spender = F.col("frequency") > f["f_2"], F.col("monetary") > m["m_2"]
-    rare, low = F.col("frequency") <= f["f_1"], F.col("monetary") <= m["m_1"]
+    thirds = {"low": 1 / 3, "high": 2 / 3}
+    out = rfm
+    for c in ("recency", "frequency", "monetary"):
+        out = attach(out, exact_quantiles(rfm, c, thirds), f"_{c}")
+    upper = lambda c: F.col(c) > F.col(f"_{c}.high")
+    lower = lambda c: F.col(c) <= F.col(f"_{c}.low")
+    recent, lapsed = lower("recency"), upper("recency")
+    frequent, spender = upper("frequency"), upper("monetary")
+    rare, low = lower("frequency"), lower("monetary")
     segment = (
         F.when(recent & frequent & spender, "Champions")
         .when(lapsed & (rare | low), "Lost")
         .when(lapsed, "At Risk")
         .otherwise("Loyal")
     )
-    return rfm.withColumn("behaviour_segment", segment)
+    return out.withColumn("behaviour_segment", segment).drop("_recency", "_frequency", "_monetary")
 
 
 # -- fills -------------------------------------------------------------------------------------

@@ -7,8 +7,8 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.functions.columns import as_ntz, days_between, is_weekend, mean, sample_std, total, weekday_name
-from tillsight.functions.ordering import exact_quantiles, scalars
+from tillsight.functions.columns import as_ntz, days_between, is_weekend, mean, sample_std, shift_days, total, weekday_name
+from tillsight.functions.ordering import attach, exact_quantiles
 
 KEY, TS, AMOUNT = "customer_id", "transaction_date", "total_amount"
 
@@ -93,8 +93,8 @@ def category_products(products: DataFrame) -> DataFrame:
 def value_shares(df: DataFrame, column: str, count: str = "rows") -> DataFrame:
     """Rows of each value and their percentage of all non-null rows."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    whole = scalars(df.agg(F.count(column).alias("n")))
-    return counts.withColumn("pct", F.round(F.col(count) * 100.0 / whole["n"], 2))
+    out = attach(counts, df.agg(F.count(column).alias("n")))
+    return out.withColumn("pct", F.round(F.col(count) * 100.0 / F.col("_k.n"), 2)).drop("_k")
 
 
 def sale_per_tier(header: DataFrame, customers: DataFrame, tier: str = "loyalty_status") -> DataFrame:
@@ -113,14 +113,14 @@ def sale_per_tier(header: DataFrame, customers: DataFrame, tier: str = "loyalty_
 def customer_rfm(header: DataFrame, reference: str | None = None) -> DataFrame:
     """Recency (to the day after the last sale), frequency and spend."""
     rows = header.filter(F.col(KEY).isNotNull())
-    if reference is None:
-        last = scalars(header.agg(F.max(TS).alias("t")))["t"]
-        today = last + F.expr("INTERVAL '1' DAY")
-    else:
-        today = as_ntz(reference)
     rfm = rows.groupBy(KEY).agg(
         F.max(TS).alias("_last"), F.count("transaction_id").alias("frequency"), total(AMOUNT).alias("monetary")
     )
+    if reference is None:
+        rfm = attach(rfm, header.agg(F.max(TS).alias("t")))
+        today = shift_days(F.col("_k.t"), 1)
+    else:
+        today = as_ntz(reference)
     return rfm.select(KEY, days_between(today, F.col("_last")).alias("recency"), "frequency", "monetary")
 
 
@@ -145,12 +145,11 @@ def spend_of_all_customers(customers: DataFrame, header: DataFrame) -> DataFrame
 
 def activity_summary(rfm: DataFrame, active_days: int = 30, churn_days: int = 180, high: float = 0.9) -> DataFrame:
     """Counts and shares of active, churned and high-value customers."""
-    edge = scalars(exact_quantiles(rfm, "monetary", {"edge": high}))["edge"]
-    counts = rfm.agg(
+    counts = attach(rfm, exact_quantiles(rfm, "monetary", {"edge": high})).agg(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(F.col("recency") <= active_days).alias("active"),
         F.count_if(F.col("recency") > churn_days).alias("churned"),
-        F.count_if(F.col("monetary") > edge).alias("high_value"),
+        F.count_if(F.col("monetary") > F.col("_k.edge")).alias("high_value"),
     )
     pct = lambda c: F.round(F.try_divide(F.col(c) * 100.0, F.col("customers")), 1).alias(f"{c}_pct")
     return counts.select("*", pct("active"), pct("churned"), pct("high_value"))
@@ -159,7 +158,7 @@ def activity_summary(rfm: DataFrame, active_days: int = 30, churn_days: int = 18
 # -- distributions --------------------------------------------------------------------------------
 def describe_column(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles in one row."""
-    q = scalars(exact_quantiles(df, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}))
+    q = exact_quantiles(df, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     stats = df.agg(
         F.count(value).alias("count"),
         mean(value).alias("mean"),
@@ -167,9 +166,7 @@ def describe_column(df: DataFrame, value: str) -> DataFrame:
         F.min(value).cast("double").alias("min"),
         F.max(value).cast("double").alias("max"),
     )
-    return stats.select(
-        "count", "mean", "std", "min", q["q25"].alias("q25"), q["q50"].alias("q50"), q["q75"].alias("q75"), "max"
-    )
+    return attach(stats, q).select("count", "mean", "std", "min", "_k.q25", "_k.q50", "_k.q75", "max")
 
 
 def skewness(df: DataFrame, value: str) -> DataFrame:
@@ -193,26 +190,25 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def target_summary(df: DataFrame, target: str = "future_spend_30d") -> DataFrame:
     """Share of zeros, mean, median, deviation, maximum and 99th percentile."""
-    q = scalars(exact_quantiles(df, target, {"median": 0.5, "p99": 0.99}))
+    q = exact_quantiles(df, target, {"median": 0.5, "p99": 0.99})
     stats = df.agg(
         mean((F.col(target) == 0).cast("int")).alias("zero_share"),
         mean(target).alias("mean"),
         sample_std(target).alias("std"),
         F.max(target).cast("double").alias("max"),
     )
-    return stats.select("zero_share", "mean", q["median"].alias("median"), "std", "max", q["p99"].alias("p99"))
+    return attach(stats, q).select("zero_share", "mean", "_k.median", "std", "max", "_k.p99")
 
 
 def impute_median(df: DataFrame, column: str) -> DataFrame:
-    middle = scalars(exact_quantiles(df, column, {"m": 0.5}))["m"]
-    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), middle))
+    out = attach(df, exact_quantiles(df, column, {"m": 0.5}))
+    return out.withColumn(column, F.coalesce(F.col(column).cast("double"), F.col("_k.m"))).drop("_k")
 
 
 def prediction_summary(scored: DataFrame, score: str = "predicted_spend_30d") -> DataFrame:
-    q = scalars(exact_quantiles(scored, score, {"m": 0.5}))
-    return scored.agg(F.count(F.lit(1)).alias("customers"), mean(score).alias("mean_score")).select(
-        "*", q["m"].alias("median_score")
-    )
+    stats = scored.agg(F.count(F.lit(1)).alias("customers"), mean(score).alias("mean_score"))
+    middle = exact_quantiles(scored, score, {"median_score": 0.5})
+    return attach(stats, middle).select("customers", "mean_score", "_k.median_score")
 
 
 def weekend_share(header: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.columns import col
-from tillsight.functions.ordering import exact_quantiles, scalars
+from tillsight.functions.ordering import attach, exact_quantiles
 
 
 def missing_profile(df: DataFrame, table: str) -> DataFrame:
@@ -54,17 +54,15 @@ def reject_reasons(tagged: DataFrame, reason: str = "rejection_reason") -> DataF
     """Rejected rows by reason, with their share of all rejects and of all rows."""
     by_reason = tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("rows"))
     # The grouped frame holds one row per reason, a handful by construction.
-    whole = scalars(
-        by_reason.agg(
-            F.sum("rows").alias("all_rows"),
-            F.sum(F.when(F.col(reason).isNotNull(), F.col("rows"))).alias("rejected"),
-        )
+    whole = by_reason.agg(
+        F.sum("rows").alias("all_rows"),
+        F.sum(F.when(F.col(reason).isNotNull(), F.col("rows"))).alias("rejected"),
     )
-    return by_reason.filter(F.col(reason).isNotNull()).select(
+    return attach(by_reason.filter(F.col(reason).isNotNull()), whole).select(
         F.col(reason),
         "rows",
-        F.round(F.col("rows") * 100.0 / whole["rejected"], 2).alias("pct_of_rejects"),
-        F.round(F.col("rows") * 100.0 / whole["all_rows"], 2).alias("pct_of_rows"),
+        F.round(F.col("rows") * 100.0 / F.col("_k.rejected"), 2).alias("pct_of_rejects"),
+        F.round(F.col("rows") * 100.0 / F.col("_k.all_rows"), 2).alias("pct_of_rows"),
     )
 
 
@@ -85,15 +83,12 @@ def iqr_bounds(df: DataFrame, value: str, multiplier: float = 1.5) -> DataFrame:
     return q.select("q1", "q3", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
-def outlier_mask(df: DataFrame, value: str, multiplier: float = 1.5) -> Column:
-    """Strictly outside the fences; false for null values."""
-    fence = scalars(iqr_bounds(df, value, multiplier))
-    x = F.col(value).cast("double")
-    return F.coalesce((x < fence["low"]) | (x > fence["high"]), F.lit(False))
-
-
 def detect_outliers(df: DataFrame, value: str, multiplier: float = 1.5, flag: str = "is_outlier") -> DataFrame:
-    return df.withColumn(flag, outlier_mask(df, value, multiplier))
+    """Adds a boolean: strictly outside the fences; false for null values."""
+    x = F.col(value).cast("double")
+    outside = (x < F.col("_k.low")) | (x > F.col("_k.high"))
+    marked = attach(df, iqr_bounds(df, value, multiplier)).withColumn(flag, F.coalesce(outside, F.lit(False)))
+    return marked.drop("_k")
 
 
 # Accepted ranges of a feature row (column, low, high) ---------------
@@ -150,14 +145,12 @@ def leakage_report(
     targets: Sequence[str] = (),
 ) -> DataFrame:
     """One row of guards: time order, shared keys, targets used as features."""
-    edge = scalars(train.agg(F.max(order).alias("t")))
-    first = test.agg(F.min(order).alias("first_test"))
-    shared = scalars(key_overlap(train, test, key))
-    return first.select(
-        edge["t"].alias("last_train"),
+    out = attach(test.agg(F.min(order).alias("first_test")), train.agg(F.max(order).alias("last_train")), "_t")
+    return attach(out, key_overlap(train, test, key)).select(
+        "_t.last_train",
         "first_test",
-        (edge["t"] <= F.col("first_test")).alias("in_time_order"),
-        shared["shared_keys"].alias("shared_keys"),
+        (F.col("_t.last_train") <= F.col("first_test")).alias("in_time_order"),
+        "_k.shared_keys",
         F.lit(len(set(features) & set(targets))).cast("long").alias("leaked_targets"),
     )
 

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.columns import col
-from tillsight.functions.ordering import Rank, order_statistics, scalars, tie_break, time_then_key_levels
+from tillsight.functions.ordering import Rank, attach, order_statistics, tie_break, time_then_key_levels
 
 KEY = "customer_id"
 
@@ -21,11 +21,11 @@ def sort_mark(ts: str, key: str) -> Column:
     return F.struct(F.col(ts).alias("t"), tie_break(key).alias("m"))
 
 
-def cut_rows(df: DataFrame, ts: str, key: str, ranks: Mapping[str, Rank]) -> dict[str, Column]:
-    """The sort marks at the given ranks, as scalar columns (null if no such row)."""
+def with_cuts(df: DataFrame, ts: str, key: str, ranks: Mapping[str, Rank]) -> DataFrame:
+    """Adds a struct ``_k`` with the sort marks at the given ranks (null if no such row)."""
     found = order_statistics(df, time_then_key_levels(ts, key), ranks)
     at = lambda name: F.max(F.when(F.col("rank_name") == name, F.col("value"))).alias(name)
-    return scalars(found.agg(*[at(name) for name in ranks]))
+    return attach(df, found.agg(*[at(name) for name in ranks]))
 
 
 def share_rank(share: float) -> Rank:
@@ -35,16 +35,16 @@ def share_rank(share: float) -> Rank:
 
 def temporal_split(df: DataFrame, ts: str = "last_purchase", key: str = KEY, share: float = 0.8) -> DataFrame:
     """Adds ``split``: the earliest int(share * n) rows are train, the rest test."""
-    cut = cut_rows(df, ts, key, {"cut": share_rank(share)})["cut"]
-    early = F.coalesce(sort_mark(ts, key) <= cut, F.lit(False))
-    return df.withColumn("split", F.when(early, "train").otherwise("test"))
+    out = with_cuts(df, ts, key, {"cut": share_rank(share)})
+    early = F.coalesce(sort_mark(ts, key) <= F.col("_k.cut"), F.lit(False))
+    return out.withColumn("split", F.when(early, "train").otherwise("test")).drop("_k")
 
 
 def validation_tail(df: DataFrame, ts: str = "last_purchase", key: str = KEY, share: float = 0.15) -> DataFrame:
     """Adds boolean ``is_validation`` for the latest share of the rows."""
-    cut = cut_rows(df, ts, key, {"cut": share_rank(1 - share)})["cut"]
-    late = ~F.coalesce(sort_mark(ts, key) <= cut, F.lit(False))
-    return df.withColumn("is_validation", late)
+    out = with_cuts(df, ts, key, {"cut": share_rank(1 - share)})
+    late = ~F.coalesce(sort_mark(ts, key) <= F.col("_k.cut"), F.lit(False))
+    return out.withColumn("is_validation", late).drop("_k")
 
 
 def random_split(df: DataFrame, key: str = KEY, share: float = 0.8, seed: int = 42) -> DataFrame:
@@ -61,11 +61,11 @@ def time_series_folds(df: DataFrame, ts: str = "last_purchase", key: str = KEY,
     """
     size = lambda n: F.floor(n / (folds + 1))
     ranks = {f"b{i}": (lambda n, i=i: n - (folds - i) * size(n) - 1) for i in range(folds)}
-    cuts = cut_rows(df, ts, key, ranks)
     mark = F.col("_mark")
     # Index of the slice a row falls in: 0 is before all tests, i + 1 is the test of fold i.
-    slice_no = sum((F.when(mark <= cuts[f"b{i}"], 0).otherwise(1) for i in range(folds)), F.lit(0))
-    placed = df.withColumn("_mark", sort_mark(ts, key)).withColumn("_slice", slice_no).drop("_mark")
+    slice_no = sum((F.when(mark <= F.col(f"_k.b{i}"), 0).otherwise(1) for i in range(folds)), F.lit(0))
+    placed = with_cuts(df, ts, key, ranks).withColumn("_mark", sort_mark(ts, key))
+    placed = placed.withColumn("_slice", slice_no).drop("_mark", "_k")
     first = F.greatest(F.col("_slice") - 1, F.lit(0))
     out = placed.withColumn("fold", F.explode(F.sequence(first, F.lit(folds - 1))))
     role = F.when(F.col("_slice") == F.col("fold") + 1, "test").otherwise("train")

@@ -2,7 +2,8 @@
 
 Every block ends with one row per customer and all joins use ``customer_id``, so
 the joins are one-to-one: no skew, and blocks that are already partitioned by the
-customer are not shuffled again.
+customer are not shuffled again. Families with label codes checkpoint the joined
+table before coding, because the codes and the coded rows both read it.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, functions as F
 from tillsight.models.prep import label_encode
 from tillsight.operators import customer as cu
 from tillsight.operators import derived as d
-from tillsight.operators.explore import impute_median
 from tillsight.operators.periods import FeatureSpec
+from tillsight.session import cut_lineage
 from tillsight.sources.schemas import CATEGORIES, PRESETS, TARGETS, feature_groups
 
 KEY = cu.KEY
@@ -55,10 +56,9 @@ def rfm_features(
     out = (
         base.join(basket, KEY, "left")
         .join(cu.stores_visited(header, spec), KEY, "left")
-        .join(cu.purchase_gaps(header, spec).select(KEY, cu.gap_mean().alias("avg_days_between_purchases")), KEY, "left")
+        .join(cu.average_gap(header, spec).withColumnRenamed("avg_gap_days", "avg_days_between_purchases"), KEY, "left")
         .join(cu.customer_attributes(customers, spec, "defaulted"), KEY, "left")
     )
-    out = impute_median(out, "avg_days_between_purchases")
     out = out.withColumns(
         {
             "total_frequency": F.col("frequency_total"),
@@ -71,8 +71,7 @@ def rfm_features(
             "customer_tenure_days": F.coalesce("customer_tenure_days", F.lit(365)),
         }
     )
-    for c in ("loyalty_status", "segment_id", "top_category"):
-        out = label_encode(out, c)
+    out = label_encode(cut_lineage(out), ("loyalty_status", "segment_id", "top_category"))
     return out.select(KEY, "first_purchase_date", "last_purchase", *PRESETS["rfm19"], *TARGETS)
 
 
@@ -109,7 +108,7 @@ def order_features(
     else:
         out = d.with_columns(out, d.momentum(), d.short_to_medium(), d.order_spread())
     features = PRESETS[family]
-    for c in ("loyalty_status", "segment_id"):
-        if f"{c}_encoded" in features:
-            out = label_encode(out, c)
+    coded = [c for c in ("loyalty_status", "segment_id") if f"{c}_encoded" in features]
+    if coded:
+        out = label_encode(cut_lineage(out), coded)
     return out.select(KEY, "first_purchase", "last_purchase", *features, *TARGETS)
