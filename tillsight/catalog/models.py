@@ -144,7 +144,7 @@ def segment_study(t):
 @query("v_cross_validation")
 def cross_validation(t):
     folded = cut_lineage(time_series_folds(_split(t)[0]))
-    return v.cross_validate(folded, FEATURES, lambda _: e.linear())
+    return v.cross_validate(folded, FEATURES, {"Linear Regression": lambda _: e.linear()})
 
 
 @query("m_ridge_grid")

@@ -187,11 +187,9 @@ def behaviour_segments(rfm: DataFrame) -> DataFrame:
 def fill_features(df: DataFrame, categoricals: list[str] = CATEGORICALS, unknown: str | Mapping[str, str] = "Unknown") -> DataFrame:
     """Numbers null -> 0, known categoricals null -> Unknown (or per-column text)."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    out = df.fillna(0, subset=[f"`{c}`" if "." in c else c for c in numeric])
+    out = df.fillna(0, subset=numeric)
     texts = {c: unknown if isinstance(unknown, str) else unknown.get(c, "Unknown") for c in categoricals if c in df.columns}
-    for name, text in texts.items():
-        out = out.withColumn(name, F.coalesce(F.col(name).cast("string"), F.lit(text)))
-    return out
+    return out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(text)) for c, text in texts.items()})
 
 
 # -- targets -------------------------------------------------------------------------------------

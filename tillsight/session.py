@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites are not recorded for every column expression: plans build faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
