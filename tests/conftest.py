@@ -8,6 +8,7 @@ sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 SMALL = "/root/testdata/sf0.001"
+MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")

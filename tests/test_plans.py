@@ -11,6 +11,7 @@ from tillsight.operators import customer as cu
 from tillsight.operators import joins as j
 from tillsight.operators import routing as r
 from tillsight.operators.periods import FeatureSpec
+from tillsight.sources import files as io
 from tillsight.sources.bindings import ORDER_CUTOFF
 
 SPEC = FeatureSpec(ORDER_CUTOFF)
@@ -74,6 +75,42 @@ def test_skewed_join_is_split(spark, tables):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_bucketed_sales_join_without_shuffle(spark, tables, tmp_path):
+    header = io.write_bucketed(tables.header, "bucketed_header", "transaction_id", 4, str(tmp_path / "h"))
+    lines = io.write_bucketed(tables.lines, "bucketed_lines", "transaction_id", 4, str(tmp_path / "l"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = j.lines_of_header(lines, header)
+        assert "Exchange" not in plan(out)
+        assert out.count() == j.lines_of_header(tables.lines, tables.header).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE bucketed_header")
+        spark.sql("DROP TABLE bucketed_lines")
+
+
+def test_feature_blocks_are_joined_without_new_shuffles(spark, tables):
+    """Star join on large data: one shuffle per block, none for the joins."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        base = cu.header_features(tables.header, SPEC)
+        cadence = cu.purchase_cadence(tables.header, SPEC)
+        text = plan(base.join(cadence, "customer_id", "left"))
+        alone = plan(base).count("Exchange") + plan(cadence).count("Exchange")
+        assert text.count("Exchange") == alone and "SortMergeJoin" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_constants_are_computed_once(spark):
+    df = QUERIES["a_hist50"](spark, SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedSubquery" in final or final.count("FileScan") <= 3
+
+
 @pytest.mark.parametrize("name", ["j_feature_table", "c_clean_lines", "s_split_last", "v_auc", "a_corr", "m_threshold_grid"])
 def test_no_python_workers_and_no_cartesian_product(spark, name):
     text = plan(QUERIES[name](spark, SMALL))

@@ -12,7 +12,6 @@ window sees is a histogram, never the rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -178,23 +177,24 @@ def running_sums(
     ).filter(F.col(names[-1]).isNotNull())
     exact = base.groupBy(*names).agg(*[F.sum(m).alias(m) for m in measures])
 
-    last = len(names) - 1
-
-    def prefix(depth):
+    def level(depth: int) -> DataFrame:
+        """Sums per key of this level, and the prefix inside the next coarser key."""
+        keys = names[: depth + 1]
+        sums = exact
+        if depth < len(names) - 1:
+            sums = exact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
         inside = Window.partitionBy(*names[:depth]).orderBy(names[depth])
         inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-        return [F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_{m}{depth}") for m in measures]
-
-    out = exact.select("*", *prefix(last))
-    for depth in range(last):
-        keys = names[: depth + 1]
-        coarse = exact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-        out = out.join(coarse.select(*keys, *prefix(depth)), keys)
-    before = [
-        reduce(lambda a, b: a + b, [F.col(f"_{m}{d}") for d in range(len(names))]).alias(f"{m}_before")
-        for m in measures
-    ]
-    return out.select(F.col(names[-1]).alias("value"), *measures, *before)
+        return sums.select("*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"{m}_before") for m in measures])
+
+    # From coarse to fine. The finer frame is already partitioned by the join keys,
+    # because its window was, so only the coarser (smaller) frame moves.
+    out = level(0)
+    for depth in range(1, len(names)):
+        coarser = out.select(*names[:depth], *[F.col(f"{m}_before").alias(f"_{m}") for m in measures])
+        finer = level(depth).join(coarser, names[:depth])
+        out = finer.withColumns({f"{m}_before": F.col(f"{m}_before") + F.col(f"_{m}") for m in measures})
+    return out.select(F.col(names[-1]).alias("value"), *measures, *[f"{m}_before" for m in measures])
 
 
 def positions(df: DataFrame, order: Sequence[str]) -> DataFrame:

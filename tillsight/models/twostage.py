@@ -70,7 +70,10 @@ def fit_two_stage(
     changes = {"maxIter": rounds} if rounds else {}
     rows = as_doubles(train, features)
     spends = F.col(target) > 0
-    cap = float(target_cap(rows, target).first()["cap"])
+    cap = target_cap(rows, target).first()["cap"]
+    if cap is None:
+        raise ValueError("two-stage training needs at least one spender")
+    cap = float(cap)
     label = rows.withColumn("label", spends.cast("double"))
     stage1 = Pipeline(stages=[*vector_stages(features, scale=True), spend_classifier(classifier, **changes)]).fit(label)
     amounts = rows.filter(spends).withColumn("label", F.log1p(clip(F.col(target).cast("double"), high=cap)))

@@ -184,13 +184,18 @@ def unique_prices(products: DataFrame, order: str = "unit_price") -> DataFrame:
 def impute_line_amount(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Null amount: quantity x list price, or quantity x 20 for an unknown product.
 
-    The price table is left to the adaptive planner: it is broadcast when its
-    measured size allows, else joined by shuffle with skewed products split.
+    Only lines without an amount meet the price table, so a table of lines is not
+    shuffled for the few that need a price. Lines without a product id skip the
+    join as well: their null keys would all go to one task.
     """
-    priced = lines.join(unique_prices(products), "product_id", "left")
+    amount = F.col("line_item_amount").cast("double")
+    needs_price = amount.isNull() & F.col("product_id").isNotNull()
+    quantity = F.col("quantity").cast("double")
+    priced = lines.filter(needs_price).join(unique_prices(products), "product_id", "left")
     price = F.coalesce(F.col("_list_price").cast("double"), F.lit(DEFAULT_LINE_PRICE))
-    amount = F.coalesce(F.col("line_item_amount").cast("double"), F.col("quantity").cast("double") * price)
-    return priced.withColumn("line_item_amount", amount).select(*lines.columns)
+    filled = priced.withColumn("line_item_amount", quantity * price).select(*lines.columns)
+    rest = lines.filter(~needs_price)
+    return rest.withColumn("line_item_amount", F.coalesce(amount, quantity * DEFAULT_LINE_PRICE)).unionByName(filled)
 
 
 def flag_header_outliers(header: DataFrame, amount: str = "total_amount") -> DataFrame:

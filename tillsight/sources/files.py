@@ -22,7 +22,9 @@ def read_raw(spark: SparkSession, folder: str, table: str, fmt: str = "csv") ->
         return spark.read.parquet(f"{folder}/{table}.parquet")
     text = ", ".join(f"`{f.name}` STRING" for f in target.fields)
     path = f"{folder}/{table}.csv"
-    raw = null_tokens_to_null(spark.read.schema(text).option("header", True).csv(path))
+    # Quotes inside a field are doubled, and column names must match the schema.
+    reader = spark.read.schema(text).options(header=True, escape='"', enforceSchema=False)
+    raw = null_tokens_to_null(reader.csv(path))
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in target.fields])
 
 
@@ -35,11 +37,24 @@ def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet", par
     path = f"{folder}/{name}"
     writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"')
     writer.save(path)
     return path
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Save as a table bucketed and sorted by a key.
+
+    Two tables with the same bucket count, such as sales headers and lines by
+    transaction id, are then joined and grouped on the key without a shuffle.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_clean(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
     return {name: write_table(df, f"{folder}/cleaned", name, fmt) for name, df in tables.items()}
 
