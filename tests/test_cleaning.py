@@ -26,6 +26,11 @@ DATES = [
     ("03-04-2023", day(2023, 3, 4)),
     ("1/2/2023", day(2023, 2, 1)),
     (" 2023-01-15\t", day(2023, 1, 15)),
+    ("2023-1-5 7:03", day(2023, 1, 5, 7, 3)),
+    ("2023-1-5 7:3:9", day(2023, 1, 5, 7, 3, 9)),
+    ("2023-01-15T10:30:00", None),
+    ("2023-01-15 10:30:00 UTC", None),
+    ("2023-01", None),
     ("2023-02-30", None),
     ("12023-01-01", None),
     ("", None),

