@@ -159,7 +159,7 @@ def clean_lines(t):
         "promotion_details": t.raw_promotions, "loyalty_rules": t.raw_rules,
         "store_sales_header": t.raw_header, "store_sales_line_items": t.raw_lines,
     }
-    return rounded(clean_all(raw).clean["store_sales_line_items"])
+    return rounded(clean_all(raw, materialise=True).clean["store_sales_line_items"])
 
 
 @query(

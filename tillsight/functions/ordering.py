@@ -29,9 +29,11 @@ def numeric_levels(c: Column | str) -> list[Column]:
     """
     c = col(c)
     x = c.cast("double")
-    size = F.log1p(F.abs(x))
-    scale = F.when(x < 0, -size).otherwise(size)
-    return [F.floor(scale * 1e3).cast("int"), F.floor(scale * 1e8).cast("long"), c]
+    scale = F.signum(x) * F.log1p(F.abs(x))
+    # Null values are dropped by the last level. The buckets are declared non-null,
+    # or Spark would compute them once more in a filter below every join.
+    bucket = lambda width: F.coalesce(F.floor(scale * width), F.lit(0))
+    return [bucket(1e3), bucket(1e8), c]
 
 
 def timestamp_levels(c: Column | str) -> list[Column]:
@@ -201,7 +203,7 @@ def positions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Adds the 0-based ``position`` of every row in the order of unique keys.
 
     The rows are range-partitioned, so each partition holds one stretch of the
-    order, and checkpointed, so a lost task cannot draw other boundaries. The
+    order, and written down, so a lost task cannot draw other boundaries. The
     offsets are one row per partition: a proven size, so they are broadcast.
     """
     order = list(order)

@@ -28,8 +28,8 @@ def clean_all(raw: Mapping[str, DataFrame], materialise: bool = False) -> CleanR
     """The whole cleaning job as lazy plans.
 
     Order matters twice: accepted headers decide which lines are orphans, and
-    clean product prices fill missing line amounts. ``materialise`` checkpoints
-    the two tagged sales tables, which feed both the clean and the reject output.
+    clean product prices fill missing line amounts. ``materialise`` writes
+    down the two tagged sales tables, which feed both the clean and the reject output.
     """
     keep = cut_lineage if materialise else (lambda df: df)
     products = c.clean_products(raw["products"])

@@ -2,7 +2,7 @@
 
 Every block ends with one row per customer and all joins use ``customer_id``, so
 the joins are one-to-one: no skew, and blocks that are already partitioned by the
-customer are not shuffled again. Families with label codes checkpoint the joined
+customer are not shuffled again. Families with label codes write the joined
 table before coding, because the codes and the coded rows both read it.
 """
 

@@ -18,7 +18,7 @@ TARGET = "future_spend_30d"
 
 
 def split_features(features: DataFrame, ts: str = "last_purchase", share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows. The split table is checkpointed: a fit reads it often."""
+    """Train and test rows. The split table is written once: a fit reads it often."""
     split = cut_lineage(temporal_split(features, ts, share=share))
     return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")
 
