@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,3 +34,19 @@ def split(batch: pa.RecordBatch, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBa
 def texts(column: pa.Array) -> list[str]:
     """Python strings of a text column; null is the empty text."""
     return [x or "" for x in column.to_pylist()]
+
+
+def remembered(key: tuple, make: Callable[[], object]) -> object:
+    """An object that a worker process keeps for its later tasks, such as a vocabulary.
+
+    The package travels by value, so its own globals are new in each task.
+    """
+    store = sys.modules.setdefault("tillsight_worker_memory", types.ModuleType("tillsight_worker_memory")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+def partitions_for(df: DataFrame, rows: int, per_task: int) -> int:
+    """Tasks for rows that stand for much more data than they hold themselves."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task))

@@ -26,14 +26,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tillsight.llm.arrowio import split, texts
+from tillsight.llm.arrowio import partitions_for, remembered, split, texts
 from tillsight.llm.seekable import SeekableReader, SeekableWriter
 from tillsight.llm.storage import make_folder, unique
 from tillsight.session import cut_lineage, shared_folder
 
 FRAME_IDS = 1 << 16  # a frame is closed after this many ids
 FILE_BYTES = 256 << 20  # a file is closed after this many bytes
-CACHE_WORDS = 400_000  # words whose ids a task remembers
+FRAMES_PER_TASK = 256  # read back by one task
+CACHE_WORDS = 400_000  # words whose ids a worker remembers
 
 MANIFEST = (
     "part int, file string, file_no int, frame int, documents long, ids long, first_doc long, last_doc long"
@@ -140,7 +141,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, id_co
     names = [x.split()[0] for x in MANIFEST.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, files = WordEncoder(vocabulary, end_id), FileSet(folder, TaskContext.get().partitionId())
+        encoder = remembered(("words", vocabulary, end_id), lambda: WordEncoder(vocabulary, end_id))
+        files = FileSet(folder, TaskContext.get().partitionId())
         for batch in batches:
             for piece in split(batch):
                 for doc, ids in zip(piece.column(0).to_pylist(), encoder.encode(texts(piece.column(1)))):
@@ -167,7 +169,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, id_co
 KINDS = [pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
-def read_tokens(manifest: DataFrame, partitions: int | None = None) -> DataFrame:
+def read_tokens(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, ids as little-endian u32 bytes) of every document in the listed frames."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +193,7 @@ def read_tokens(manifest: DataFrame, partitions: int | None = None) -> DataFrame
             reader.close()
 
     frames = manifest.select("file", "frame", "start")
-    frames = frames.repartition(partitions, "file", "frame") if partitions else frames.repartition("file", "frame")
+    frames = frames.repartition(partitions_for(frames, frames.count(), FRAMES_PER_TASK), "file", "frame")
     return frames.sortWithinPartitions("file", "frame").mapInArrow(run, "doc_id long, start long, ids binary")
 
 

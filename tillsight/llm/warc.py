@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm.arrowio import split
+from tillsight.llm.arrowio import partitions_for, split
 from tillsight.llm.seekable import SeekableReader, SeekableWriter
 from tillsight.llm.storage import make_folder, unique
 from tillsight.session import cut_lineage, shared_folder
 
 FRAME_BYTES = 256 << 10  # a frame is closed after this many bytes of records
+FRAMES_PER_TASK = 256  # read back by one task
 BUNDLE_BYTES = 256 << 20  # a bundle is closed after this many compressed bytes
 
 DATE = "1970-01-01T00:00:00Z"  # the pages have no time
@@ -180,8 +181,10 @@ def read_archive(index: DataFrame, payloads: bool = True) -> DataFrame:
             reader.close()
 
     # A frame holds a bounded number of bytes, and so a bounded list of offsets.
-    frames = index.groupBy("file", "frame").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
-    return frames.mapInArrow(run, ddl)
+    tasks = partitions_for(index, index.select("file", "frame").distinct().count(), FRAMES_PER_TASK)
+    frames = index.repartition(tasks, "file", "frame").groupBy("file", "frame")
+    frames = frames.agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
+    return frames.sortWithinPartitions("file", "frame").mapInArrow(run, ddl)
 
 
 def lookup(index: DataFrame, wanted: list[int]) -> DataFrame:
