@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.llm.language import op8_language
 from tillsight.llm.pieces import op6_pieces
 from tillsight.llm.token_frames import op3_token_frames
+from tillsight.llm.toxicity import op4_toxicity
 from tillsight.llm.warc import OP1_SQL, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_token_frames": op3_token_frames,
+    "op4_toxicity": op4_toxicity,
     "op6_pieces": op6_pieces,
     "op8_language": op8_language,
 }
