@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillsight.llm.contamination import OP7_SQL, op7_contamination
 from tillsight.llm.language import op8_language
 from tillsight.llm.pieces import op6_pieces
 from tillsight.llm.token_frames import op3_token_frames
@@ -17,9 +18,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_frames": op3_token_frames,
     "op4_toxicity": op4_toxicity,
     "op6_pieces": op6_pieces,
+    "op7_contamination": op7_contamination,
     "op8_language": op8_language,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op7_contamination": OP7_SQL,
 }
