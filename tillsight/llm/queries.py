@@ -10,6 +10,7 @@ from tillsight.llm.contamination import OP7_SQL, op7_contamination
 from tillsight.llm.language import op8_language
 from tillsight.llm.pieces import op6_pieces
 from tillsight.llm.token_frames import op3_token_frames
+from tillsight.llm.topk import OP10_SQL, op10_topk
 from tillsight.llm.toxicity import op4_toxicity
 from tillsight.llm.warc import OP1_SQL, op1_warc
 
@@ -20,9 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pieces": op6_pieces,
     "op7_contamination": op7_contamination,
     "op8_language": op8_language,
+    "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op7_contamination": OP7_SQL,
+    "op10_topk": OP10_SQL,
 }
