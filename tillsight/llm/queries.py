@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.llm.contamination import OP7_SQL, op7_contamination
 from tillsight.llm.language import op8_language
 from tillsight.llm.pieces import op6_pieces
+from tillsight.llm.private_data import op5_private
 from tillsight.llm.token_frames import op3_token_frames
 from tillsight.llm.topk import OP10_SQL, op10_topk
 from tillsight.llm.toxicity import op4_toxicity
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_token_frames": op3_token_frames,
     "op4_toxicity": op4_toxicity,
+    "op5_private": op5_private,
     "op6_pieces": op6_pieces,
     "op7_contamination": op7_contamination,
     "op8_language": op8_language,
