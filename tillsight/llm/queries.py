@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.llm.contamination import OP7_SQL, op7_contamination
+from tillsight.llm.kneser_ney import op2_kneser_ney
 from tillsight.llm.language import op8_language
 from tillsight.llm.pieces import op6_pieces
 from tillsight.llm.private_data import op5_private
@@ -17,6 +18,7 @@ from tillsight.llm.warc import OP1_SQL, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_token_frames": op3_token_frames,
     "op4_toxicity": op4_toxicity,
     "op5_private": op5_private,
