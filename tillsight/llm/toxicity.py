@@ -52,7 +52,7 @@ SECOND_PERSON = frozenset(
 )
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 
-EDGES = re.compile(r"^[^\w@$]+|[^\w@$]+$")
+EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "¿¡«»“”„‘’…"
 MARKS = re.compile(r"[\W_]+")
 RUNS = re.compile(r"(.)\1{2,}")
 IS_STRONG, IS_MILD, IS_PERSON, IS_CAPITAL, IS_HIDDEN, IS_LETTER = 1, 2, 4, 8, 16, 32
@@ -61,23 +61,15 @@ STEMS = (4, 5, 6)
 
 def spellings(token: str) -> tuple[str, str]:
     """A token as it is written and as it may be meant: without look-alikes, inner marks and drawn-out letters."""
-    low = EDGES.sub("", token).lower()
-    meant = low
-    if not low.isalpha():
-        if any(c.isalpha() for c in low):
-            meant = MARKS.sub("", low.translate(LOOKALIKES))
+    low = meant = token.strip(EDGES).lower()
+    if not low.isalpha() and any(c.isalpha() for c in low):
+        meant = MARKS.sub("", low.translate(LOOKALIKES))
     return low, RUNS.sub(r"\1", meant)
 
 
-def entries(token: str) -> Iterator[str]:
-    """The lexicon keys of a token: the word, and its beginnings marked by a star."""
-    low, meant = spellings(token)
-    for word in {low, meant}:
-        if word:
-            yield word
-            for n in STEMS:
-                if len(word) > n:
-                    yield word[:n] + "*"
+def entries(word: str) -> list[str]:
+    """The lexicon keys of a spelling: the word, and its beginnings marked by a star."""
+    return [word, *[word[:n] + "*" for n in STEMS if len(word) > n]] if word else []
 
 
 class Tokens:
@@ -87,18 +79,20 @@ class Tokens:
         self.lexicon, self.limit, self.known = lexicon, limit, {}
 
     def flags(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        new = set(words) - known.keys()
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            new = set(words)
-        for w in new:
-            known[w] = self.judge(w)
-        return np.fromiter(map(known.__getitem__, words), "u1", len(words))
+        found = list(map(self.known.get, words))
+        if None in found:
+            if len(self.known) > self.limit:
+                self.known.clear()
+            for i, flag in enumerate(found):
+                if flag is None:
+                    found[i] = self.known[words[i]] = self.judge(words[i])
+        return np.array(found, "u1")
 
     def judge(self, token: str) -> int:
         low, meant = spellings(token)
-        odds = max((self.lexicon.get(k, 0.0) for k in entries(token)), default=0.0)
+        odds = max([self.lexicon.get(k, 0.0) for k in entries(low)], default=0.0)
+        if low != meant:
+            odds = max([odds, *[self.lexicon.get(k, 0.0) for k in entries(meant)]])
         flags = IS_STRONG if odds >= STRONG else IS_MILD if odds >= MILD else 0
         flags |= IS_PERSON * (low in SECOND_PERSON) | IS_HIDDEN * (low != meant) | IS_LETTER * (len(low) == 1)
         return flags | IS_CAPITAL * (len(low) > 1 and token.isupper())
@@ -169,18 +163,21 @@ def learn_lexicon(rows: DataFrame) -> dict[str, dict[str, float]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in split(batch):
-                seen: Counter = Counter()
+                seen: dict[tuple, Counter] = {}
                 for half, label, text in zip(*(piece.column(n).to_pylist() for n in ("half", "label", "text"))):
-                    seen.update((half, label, k) for k in {k for w in set(text.split()) for k in entries(w)})
-                halves, labels, keys = zip(*seen) if seen else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(halves, pa.int32()), pa.array(labels, pa.int32()), pa.array(keys, pa.string()), pa.array(list(seen.values()), pa.int64())],
-                    ["half", "label", "key", "n"],
-                )
+                    keys = {k for w in set(text.split()) for x in set(spellings(w)) for k in entries(x)}
+                    seen.setdefault((half, label), Counter()).update(keys)
+                for (half, label), found in seen.items():
+                    n = len(found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([half] * n, pa.int32()), pa.array([label] * n, pa.int32()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+                        ["half", "label", "key", "n"],
+                    )
 
     counts = rows.mapInArrow(run, "half int, label int, key string, n long").groupBy("key").agg(
         *[F.sum(F.when((F.col("half") == h) & (F.col("label") == y), F.col("n")).otherwise(0)).alias(f"n{h}{y}") for h in (0, 1) for y in (0, 1)]
     )
+    counts = cut_lineage(counts.filter(F.col("n01") + F.col("n11") >= SUPPORT))
     sizes = {(r["half"], r["label"]): r["count"] for r in rows.groupBy("half", "label").count().collect()}
     out = {}
     for name, halves in (("0", [0]), ("1", [1]), ("all", [0, 1])):
@@ -199,14 +196,14 @@ class ToxicityModel:
     def __init__(self, lexicon: dict[str, float], trees: GBTClassificationModel | None, curve: IsotonicRegressionModel | None, share: float):
         self.lexicon, self.trees, self.curve, self.share = lexicon, trees, curve, share
 
-    def score(self, docs: DataFrame, text_column: str = "text") -> DataFrame:
-        """The other columns of the documents and score, a probability."""
-        rows = docs.withColumnRenamed(text_column, "text").withColumn("half", F.lit(0))
-        rows = rows.withColumn("text", F.col("text").cast("string"))
+    def score(self, docs: DataFrame) -> DataFrame:
+        """(row: all columns of the document but the text, score: a probability)."""
+        kept = [c for c in docs.columns if c != "text"]
+        rows = docs.select(F.struct(*kept).alias("row"), F.col("text").cast("string").alias("text"), F.lit(0).alias("half"))
         if self.trees is None:
-            return rows.drop("half", "text").withColumn("score", F.lit(self.share))
-        scored = margin(self.trees, with_features(rows, [self.lexicon]))
-        return self.curve.transform(scored).drop("features", "margin", "half").withColumn("score", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)))
+            return rows.select("row", F.lit(float(self.share)).alias("score"))
+        scored = self.curve.transform(margin(self.trees, with_features(rows, [self.lexicon])))
+        return scored.select("row", F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def margin(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
@@ -247,6 +244,6 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet").filter(rest("doc_id", 3) != 1)
     model = train(docs, labels)
-    return model.score(docs).select(
+    return model.score(docs).select("row.doc_id", "score").select(
         "doc_id", (rest("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
