@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.llm.contamination import OP7_SQL, op7_contamination
 from tillsight.llm.kneser_ney import op2_kneser_ney
 from tillsight.llm.language import op8_language
+from tillsight.llm.near_duplicates import op9_near_duplicates
 from tillsight.llm.pieces import op6_pieces
 from tillsight.llm.private_data import op5_private
 from tillsight.llm.token_frames import op3_token_frames
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pieces": op6_pieces,
     "op7_contamination": op7_contamination,
     "op8_language": op8_language,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_topk": op10_topk,
 }
 
