@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.operators.periods import FeatureSpec
+from tillsight.models import estimators
 from tillsight.plans import feature_job, scoring_job
 from tillsight.plans.cleaning_job import clean_all
 from tillsight.plans.training_job import best_of, compare_models
@@ -30,7 +31,10 @@ def raw(spark, tmp_path_factory):
     return io.read_all(spark, folder)
 
 
-def test_csv_to_predictions(raw):
+def test_csv_to_predictions(raw, monkeypatch):
+    # Small presets: the sizes of the named ones are tested elsewhere.
+    monkeypatch.setitem(estimators.FORESTS, "forest_200x12", dict(numTrees=3, maxDepth=4))
+    monkeypatch.setitem(estimators.BOOSTED, "boost_200x6", dict(maxIter=2, maxDepth=3))
     clean = clean_all(raw, materialise=True).clean
     categories = sorted(r[0] for r in clean["products"].select("product_category").distinct().collect())
     features = feature_job.full_features(
@@ -40,7 +44,7 @@ def test_csv_to_predictions(raw):
     catalogue = io.feature_catalogue(features, categories)
     assert catalogue.count() == len(features.columns) - 2 - len(TARGETS)
     numeric = [f"{m}_{d}d" for d in (30, 60, 90) for m in ("monetary", "frequency")] + ["recency_days", "tenure_days"]
-    models, board = compare_models(features, numeric, ["loyalty_status"], rounds=2, trees=3)
+    models, board = compare_models(features, numeric, ["loyalty_status"])
     assert {r["model"] for r in board.collect()} == set(models)
     top = scoring_job.score_top(best_of(models, board), features, 5).collect()
     assert len(top) == 5 and all(r["spend_category"] is not None for r in top)

@@ -4,7 +4,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from conftest import values
-from tillsight.catalog.models import FEATURES
 from tillsight.catalog.views import customer_table
 from tillsight.models import estimators as e
 from tillsight.models import evaluate as ev
@@ -13,12 +12,24 @@ from tillsight.models.scoring import SpendPredictor
 from tillsight.models.twostage import TwoStageModel, fit_two_stage
 from tillsight.operators import derived as d
 from tillsight.operators.splits import temporal_split
-from tillsight.plans import cleaning_job, scoring_job
-from tillsight.session import cut_lineage
+from tillsight.plans import cleaning_job, scoring_job, training_job
+from tillsight.plans.training_job import coded_on_train
+from tillsight.session import cut_lineage, owned_frames
 from tillsight.sources import files as io
 from tillsight.streaming.sales import route_header_stream, score_stream
 
 Y = "future_spend_30d"
+FEATURES = [
+    "total_frequency", "total_monetary", "recency_days", "frequency_30d", "monetary_30d",
+    "frequency_60d", "monetary_60d", "frequency_90d", "monetary_90d",
+]
+
+
+@pytest.fixture
+def quick(monkeypatch):
+    """Small presets of the tests' own."""
+    monkeypatch.setitem(e.CLASSIFIERS, "quick", dict(maxIter=3, maxDepth=3))
+    monkeypatch.setitem(e.BOOSTED, "quick", dict(maxIter=3, maxDepth=3))
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +50,9 @@ def test_ridge_is_the_closed_form(spark, alpha):
     assert w == pytest.approx(np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc), rel=1e-5)
 
 
-def test_two_stage_ranges_and_round_trip(spark, split, tmp_path):
+def test_two_stage_ranges_and_round_trip(spark, split, tmp_path, quick):
     train, test = split
-    model = fit_two_stage(train, FEATURES, rounds=3)
+    model = fit_two_stage(train, FEATURES, classifier="quick", regressor="quick")
     rows = model.transform(test).collect()
     assert rows and all(0 <= r["spend_probability"] <= 1 for r in rows)
     assert all(0 <= r["expected_if_spend"] <= model.cap for r in rows)
@@ -169,3 +180,51 @@ def test_csv_reader_applies_null_tokens(spark, tmp_path):
     (tmp_path / "products.csv").write_text("product_id,product_name,product_category,unit_price,current_stock_level\nP1,N/A,Toys,abc,5\nP2,x, null ,3.5,\n")
     got = sorted(io.read_raw(spark, str(tmp_path), "products").collect())
     assert got[0][1:] == (None, "Toys", None, 5.0) and got[1][1:] == ("x", None, 3.5, None)
+
+
+def test_presets_are_built_in_full(split):
+    for name, values_ in e.FORESTS.items():
+        f = e.forest(name)
+        assert (f.getNumTrees(), f.getMaxDepth(), f.getMinInstancesPerNode()) == (values_["numTrees"], values_["maxDepth"], values_["minInstancesPerNode"])
+    for make, presets in ((e.boosted, e.BOOSTED), (e.spend_classifier, e.CLASSIFIERS)):
+        for name, values_ in presets.items():
+            g = make(name)
+            assert all(g.getOrDefault(k) == v for k, v in values_.items()), name
+            assert g.isSet("validationIndicatorCol") == (name in e.VALIDATION)
+    vec = vector_pipeline(FEATURES).fit(as_doubles(split[0], FEATURES)).transform(as_doubles(split[0], FEATURES)).withColumn("label", F.col(Y))
+    assert e.forest("forest_100x10").fit(vec).getNumTrees == 100
+
+
+def test_early_stopping_holds_rows_back(spark):
+    rows = spark.range(4000).withColumnRenamed("id", "customer_id")
+    share = e.with_held_back(rows, e.boosted("boost_300x3")).agg(F.avg(F.col(e.HELD_BACK).cast("int"))).first()[0]
+    assert share == pytest.approx(0.15, abs=0.02)
+    assert e.with_held_back(rows, e.boosted("boost_100x5")).columns == ["customer_id"]
+
+
+def test_codes_come_from_training_rows(spark):
+    train = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "customer_id int, tier string")
+    test = spark.createDataFrame([(4, "a"), (5, "zz")], "customer_id int, tier string")
+    train, test = coded_on_train(train, test, ["tier_encoded"])
+    assert sorted(values(train, "customer_id", "tier_encoded")) == [(1, 1), (2, 0), (3, -1)]
+    assert sorted(values(test, "customer_id", "tier_encoded")) == [(4, 0), (5, -1)]
+
+
+def test_threshold_is_tuned_on_training_rows(split, quick, monkeypatch):
+    monkeypatch.setitem(e.CLASSIFIERS, "classify_300x3", e.CLASSIFIERS["quick"])
+    monkeypatch.setitem(e.BOOSTED, "boost_300x3", e.BOOSTED["quick"])
+    got = training_job.tuned_threshold(split[0], FEATURES)
+    assert 0.05 <= got <= 0.9
+
+
+def test_owned_frames_leave_nothing(spark, tables, tmp_path, monkeypatch):
+    import os
+
+    from tillsight import session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda spark: str(tmp_path / "shared"))
+    with pytest.raises(RuntimeError), owned_frames(spark):
+        assert cut_lineage(tables.stores).count() == 25
+        assert os.listdir(tmp_path / "shared")
+        raise RuntimeError
+    assert not os.listdir(tmp_path / "shared")

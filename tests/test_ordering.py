@@ -90,3 +90,20 @@ def test_attach_is_a_subquery_not_a_join(spark):
     df = spark.range(100)
     plan = o.attach(df, df.agg(F.max("id").alias("m")))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Subquery" in plan
+
+
+def test_levels_separate_all_magnitudes(spark):
+    """Tiny, huge and crowded values: exact ranks, and no bucket that holds them together."""
+    found = [s * m * 10.0**e for e in range(-300, 301, 5) for m in (1.0, 1.5, 9.9) for s in (1, -1)]
+    found += [k * 1e-12 for k in range(1, 1001)] + [0.0] * 50 + [float("inf"), float("-inf")]
+    df = spark.createDataFrame([(x,) for x in found], "x double")
+    ordered = sorted(found)
+    ranks = {str(i): (lambda n, i=i: F.lit(i)) for i in range(0, len(found), 97)}
+    got = {r["rank_name"]: r["value"] for r in o.order_statistics(df, o.numeric_levels("x"), ranks).collect()}
+    assert got == {str(i): ordered[i] for i in range(0, len(found), 97)}
+    coarse, fine, exact = o.numeric_levels("x")
+    buckets = df.select(coarse.alias("a"), fine.alias("b"), exact.alias("c")).filter("c <> 0").distinct()
+    assert buckets.groupBy("a").agg(F.countDistinct("b").alias("n")).agg(F.max("n")).first()[0] <= 2
+    assert buckets.groupBy("a", "b").count().agg(F.max("count")).first()[0] <= 2
+    pairs = df.select("x", coarse.alias("a"), fine.alias("b")).orderBy("x").collect()
+    assert all(p["a"] <= q["a"] and p["b"] <= q["b"] for p, q in zip(pairs, pairs[1:]))

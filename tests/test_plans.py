@@ -129,3 +129,9 @@ def test_library_has_no_local_checkpoint_cross_join_or_udf():
 
 def test_most_queries_have_an_oracle():
     assert len(ORACLES) > 100 and len(ORACLES) / len(QUERIES) > 0.75
+
+
+@pytest.mark.parametrize("name", ["s_split_last", "s_split_first", "s_tscv", "s_validation_tail"])
+def test_split_input_is_computed_once(spark, name):
+    """The cut is searched in a written frame: the source is not read again."""
+    assert "orders.parquet" not in plan(QUERIES[name](spark, SMALL))

@@ -288,13 +288,22 @@ def feature_table(t):
 
 
 @query(
-    "e_features_right", "header customers",
-    f"""WITH h AS (SELECT *, transaction_date <= {CUT} AS past FROM header)
+    "e_features_right", "header customers lines products",
+    f"""WITH h AS (SELECT *, transaction_date <= {CUT} AS past FROM header),
+        gap AS (SELECT customer_id, {sql_days('transaction_date', 'lag(transaction_date) OVER (PARTITION BY customer_id ORDER BY transaction_date)')} AS gap FROM h WHERE past),
+        gm AS (SELECT customer_id, sum(gap)::DOUBLE / nullif(count(gap), 0) AS v FROM gap GROUP BY 1),
+        cat AS (SELECT customer_id, product_category, count(*) AS n FROM lines JOIN (SELECT transaction_id, customer_id FROM h WHERE past) USING (transaction_id)
+                LEFT JOIN products USING (product_id) GROUP BY ALL),
+        fav AS (SELECT customer_id, count(product_category) AS num_categories,
+                  arg_min(product_category, (-n, product_category)) FILTER (WHERE product_category IS NOT NULL) AS top_category FROM cat GROUP BY 1)
         SELECT b.customer_id, recency_days, total_frequency, total_monetary, frequency_30d, frequency_60d, frequency_90d,
                monetary_30d, monetary_60d, monetary_90d, avg_order_value, num_stores_visited, is_weekend_shopper,
                CAST(dense_rank() OVER (ORDER BY loyalty_status) - 1 AS BIGINT) AS loyalty_status_encoded,
                CAST(dense_rank() OVER (ORDER BY segment_id) - 1 AS BIGINT) AS segment_id_encoded,
-               {sql_days(CUT, 'customer_since::TIMESTAMP')} AS customer_tenure_days, future_spend_30d
+               {sql_days(CUT, 'customer_since::TIMESTAMP')} AS customer_tenure_days, future_spend_30d,
+               round(coalesce(gm.v, (SELECT quantile_cont(v, 0.5) FROM gm)), 4) AS avg_days_between_purchases, total_loyalty_points,
+               coalesce(num_categories, 1) AS num_categories,
+               CAST(dense_rank() OVER (ORDER BY coalesce(top_category, 'Unknown')) - 1 AS BIGINT) AS top_category_encoded
         FROM (SELECT customer_id, {sql_days(CUT, 'max(transaction_date) FILTER (WHERE past)')} AS recency_days,
                 count(*) FILTER (WHERE past) AS total_frequency, (sum(total_amount) FILTER (WHERE past))::DOUBLE AS total_monetary,
                 """
@@ -307,7 +316,8 @@ def feature_table(t):
                 count(DISTINCT store_id) FILTER (WHERE past) AS num_stores_visited,
                 CAST(avg(CAST(isodow(transaction_date) >= 6 AS INT)) FILTER (WHERE past) > 0.5 AS INT) AS is_weekend_shopper,
                 coalesce(sum(total_amount) FILTER (WHERE transaction_date > {CUT} AND transaction_date <= {CUT} + INTERVAL 45 DAY), 0)::DOUBLE AS future_spend_30d
-              FROM h GROUP BY customer_id HAVING count(*) FILTER (WHERE past) > 0) b LEFT JOIN customers c ON b.customer_id = c.customer_id""",
+              FROM h GROUP BY customer_id HAVING count(*) FILTER (WHERE past) > 0) b LEFT JOIN customers c ON b.customer_id = c.customer_id
+          LEFT JOIN gm ON gm.customer_id = b.customer_id LEFT JOIN fav ON fav.customer_id = b.customer_id""",
 )
 def features_right(t):
     out = fj.rfm_features(t.header, t.lines, t.products, t.customers, RIGHT45)
@@ -315,4 +325,6 @@ def features_right(t):
         KEY, "recency_days", "total_frequency", "total_monetary", "frequency_30d", "frequency_60d", "frequency_90d",
         "monetary_30d", "monetary_60d", "monetary_90d", "avg_order_value", "num_stores_visited", "is_weekend_shopper",
         "loyalty_status_encoded", "segment_id_encoded", "customer_tenure_days", "future_spend_30d",
+        F.round("avg_days_between_purchases", 4).alias("avg_days_between_purchases"), "total_loyalty_points", "num_categories",
+        "top_category_encoded",
     )

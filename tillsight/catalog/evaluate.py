@@ -16,7 +16,7 @@ Y = "future_spend_30d"
 
 def _metrics(y, p, by=""):
     return f"""{by}round(avg(abs({y} - {p})), 4) AS mae, round(sqrt(avg(({y} - {p}) * ({y} - {p}))), 4) AS rmse,
-      round(1 - sum(({y} - {p}) * ({y} - {p})) / (count(*) * var_pop({y})), 4) AS r2"""
+      round(1 - sum(({y} - {p}) * ({y} - {p})) / nullif(count(*) * var_pop({y}), 0), 4) AS r2"""
 
 
 BASE = """WITH c AS (SELECT quantile_cont(future_spend_30d, 0.99) AS cap FROM split WHERE split = 'train' AND future_spend_30d > 0),
@@ -71,10 +71,10 @@ def regression(t):
     return rounded(ev.regression_metrics(scored(t), Y, "predicted"))
 
 
-@query("v_regression_by_year", "scored", f"SELECT {_metrics(Y, 'predicted', 'CAST(year(last_purchase) AS INT) AS last_year, ')} FROM scored GROUP BY year(last_purchase) HAVING var_pop({Y}) > 0")
+@query("v_regression_by_year", "scored", f"SELECT {_metrics(Y, 'predicted', 'CAST(year(last_purchase) AS INT) AS last_year, ')} FROM scored GROUP BY year(last_purchase)")
 def regression_by_year(t):
     rows = scored(t).withColumn("last_year", F.year("last_purchase"))
-    return rounded(ev.regression_metrics(rows, Y, "predicted", ["last_year"]).filter("r2 IS NOT NULL"))
+    return rounded(ev.regression_metrics(rows, Y, "predicted", ["last_year"]))
 
 
 CONF = """SELECT count(*) FILTER (WHERE y AND p) AS tp, count(*) FILTER (WHERE NOT y AND p) AS fp,

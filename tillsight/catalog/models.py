@@ -14,28 +14,38 @@ from tillsight.models.evaluate import importance_table, regression_metrics
 from tillsight.models.prep import as_doubles, vector_pipeline, vector_stages
 from tillsight.models.scoring import SpendPredictor
 from tillsight.models.twostage import fit_two_stage, hard_decision
-from tillsight.operators import derived as d
 from tillsight.operators.splits import time_series_folds, validation_tail
+from tillsight.plans import feature_job as fj
 from tillsight.plans import scoring_job
-from tillsight.plans.training_job import best_of, compare_models, split_features, train_two_stage
+from tillsight.plans.training_job import best_of, coded_on_train, compare_models, split_features, train_two_stage
 from tillsight.session import cut_lineage, shared_folder
+from tillsight.sources.schemas import PRESETS
 
-FEATURES = [
-    "total_frequency", "total_monetary", "recency_days", "frequency_30d", "monetary_30d",
-    "frequency_60d", "monetary_60d", "frequency_90d", "monetary_90d",
-]
+FAMILY = "momentum32"
+FEATURES = PRESETS[FAMILY]
+TWO_STAGE = PRESETS["two_stage"]
 Y = "future_spend_30d"
-# Boosting rounds and trees of the registered runs; the presets' own numbers are
-# in models/estimators.py.
-ROUNDS, TREES = 10, 20
 
 
-def _features(t):
-    return d.with_columns(customer_table(t), d.momentum(), d.short_to_medium())
+def _features(t, family=FAMILY):
+    """A feature family on line totals; categories are coded on training rows only."""
+    return fj.order_features(t.header, t.lines, t.customers, SPEC, family, coded=False)
 
 
-def _split(t):
-    return split_features(_features(t))
+def _split(t, family=FAMILY):
+    return coded_on_train(*split_features(_features(t, family)), PRESETS[family])
+
+
+def _one_feature(t):
+    """A linear model of one feature on all rows, which SQL can fit as well."""
+    rows = customer_table(t)
+    return rows, SpendPredictor.fit(rows, e.linear(), ["total_monetary"], target=Y, scale=False)
+
+
+def _raw_sides(t):
+    """The training rows, which define the codes, and all customers with a history."""
+    features = cut_lineage(_features(t))
+    return split_features(features)[0], features
 
 
 def _predictor(t, estimator=None):
@@ -63,9 +73,58 @@ def vector(t):
     "SELECT round(regr_slope(future_spend_30d, total_monetary), 6) AS slope, round(regr_intercept(future_spend_30d, total_monetary), 4) AS intercept FROM cust",
 )
 def linear_one_feature(t):
-    return customer_table(t).agg(
-        F.round(F.regr_slope(Y, "total_monetary"), 6).alias("slope"), F.round(F.regr_intercept(Y, "total_monetary"), 4).alias("intercept")
-    )
+    _, p = _one_feature(t)
+    line = p.model.stages[-1]
+    row = (round(float(line.coefficients[0]), 6), round(float(line.intercept), 4))
+    return t.spark.createDataFrame([row], "slope double, intercept double")
+
+
+ONE = """line AS (SELECT regr_slope(future_spend_30d, total_monetary) AS a, regr_intercept(future_spend_30d, total_monetary) AS b FROM cust),
+  one AS (SELECT cust.*, greatest(a * total_monetary + b, 0) AS predicted FROM cust, line)"""
+
+
+@query("m_linear_scores", "cust", f"WITH {ONE} SELECT customer_id, round(predicted, 3) AS predicted FROM one")
+def linear_scores(t):
+    rows, p = _one_feature(t)
+    return p.predict(rows).select("customer_id", F.round("prediction", 3).alias("predicted"))
+
+
+@query(
+    "m_linear_metrics", "cust",
+    f"""WITH {ONE} SELECT round(avg(abs(future_spend_30d - predicted)), 3) AS mae, round(sqrt(avg((future_spend_30d - predicted) ** 2)), 3) AS rmse,
+          round(1 - sum((future_spend_30d - predicted) ** 2) / (count(*) * var_pop(future_spend_30d)), 4) AS r2 FROM one""",
+)
+def linear_metrics(t):
+    rows, p = _one_feature(t)
+    m = regression_metrics(p.predict(rows), Y, "prediction")
+    return m.select(F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"), F.round("r2", 4).alias("r2"))
+
+
+@query(
+    "m_ridge_one_feature", "cust",
+    """SELECT alpha, round(covar_pop(future_spend_30d, total_monetary) * count(*) / (var_pop(total_monetary) * count(*) + alpha * 1e9), 6) AS slope
+       FROM cust, (SELECT unnest([0.01, 0.1, 1.0, 10.0, 100.0, 1000.0])::DOUBLE AS alpha) GROUP BY alpha""",
+)
+def ridge_one_feature(t):
+    """Penalties on the scale of the feature's squares, so that each one moves the slope."""
+    rows = cut_lineage(as_doubles(customer_table(t), ["total_monetary"]).withColumn("label", F.col(Y)))
+    ready = vector_pipeline(["total_monetary"], scale=False).fit(rows).transform(rows)
+    found = [(a, round(float(e.ridge(ready, a * 1e9).fit(ready).coefficients[0]), 6)) for a in e.RIDGE_ALPHAS]
+    return t.spark.createDataFrame(found, "alpha double, slope double")
+
+
+@query(
+    "sc_round_trip_scores", "cust",
+    f"WITH {ONE} SELECT customer_id, round(predicted, 3) AS predicted FROM one ORDER BY predicted DESC, customer_id LIMIT 10",
+)
+def round_trip_scores(t):
+    """The ten largest scores of a model that was saved and loaded."""
+    rows, p = _one_feature(t)
+    path = shared_folder(t.spark, f"predictor-{uuid.uuid4().hex}")
+    p.save(path)
+    scored = SpendPredictor.load(t.spark, path).predict(rows)
+    top = scored.orderBy(F.desc("prediction"), "customer_id").limit(10)
+    return top.select("customer_id", F.round("prediction", 3).alias("predicted"))
 
 
 @query("m_linear")
@@ -82,20 +141,20 @@ def ridge(t):
 
 @query("m_forest")
 def forest(t):
-    return _scores(t, e.forest("forest_200x8", numTrees=TREES))
+    return _scores(t, e.forest("forest_200x8"))
 
 
 @query("m_boosted")
 def boosted(t):
-    return _scores(t, e.boosted("boost_300x4", maxIter=ROUNDS))
+    return _scores(t, e.boosted("boost_300x4"))
 
 
 @query("m_boosted_validation")
 def boosted_validation(t):
+    """Early stopping on the latest training rows."""
     train, test = _split(t)
     rows = as_doubles(cut_lineage(validation_tail(train, share=0.1)), FEATURES).withColumn("label", F.log1p(Y))
-    boost = e.boosted("boost_500x4", validation="is_validation", maxIter=ROUNDS)
-    model = Pipeline(stages=[*vector_stages(FEATURES), boost]).fit(rows)
+    model = Pipeline(stages=[*vector_stages(FEATURES), e.boosted("boost_500x4")]).fit(rows)
     scored = model.transform(as_doubles(test, FEATURES))
     return scored.select("customer_id", F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("prediction"))
 
@@ -103,42 +162,40 @@ def boosted_validation(t):
 @query("m_classifier")
 def classifier(t):
     train, test = _split(t)
+    estimator = e.spend_classifier("classify_300x3")
     rows = as_doubles(train, FEATURES).withColumn("label", F.col("will_purchase_30d").cast("double"))
-    stages = [*vector_stages(FEATURES), e.spend_classifier("classify_300x3", maxIter=ROUNDS)]
-    scored = Pipeline(stages=stages).fit(rows).transform(as_doubles(test, FEATURES))
+    model = Pipeline(stages=[*vector_stages(FEATURES), estimator]).fit(e.with_held_back(rows, estimator))
+    scored = model.transform(as_doubles(test, FEATURES))
     return scored.select("customer_id", "will_purchase_30d", vector_to_array("probability")[1].alias("probability"))
 
 
 @query("m_buckets")
 def buckets(t):
-    train, test = _split(t)
-    rows = as_doubles(train, FEATURES).withColumn("label", d.spend_bucket(Y).cast("double"))
-    model = Pipeline(stages=[*vector_stages(FEATURES), e.bucket_classifier("forest", numTrees=TREES)]).fit(rows)
-    scored = model.transform(as_doubles(test, FEATURES))
-    return scored.select("customer_id", d.spend_bucket(Y).alias("bucket"), F.col("prediction").cast("int").alias("predicted_bucket"), d.bucket_value("prediction").alias("bucket_value"))
+    scored = v.bucket_scores(*_split(t), FEATURES)
+    return scored.select("customer_id", "bucket", "predicted_bucket", "bucket_value")
 
 
 @query("m_two_stage")
 def two_stage(t):
-    train, test = _split(t)
-    scored = hard_decision(fit_two_stage(train, FEATURES, rounds=ROUNDS).transform(test))
+    train, test = _split(t, "two_stage")
+    scored = hard_decision(fit_two_stage(train, TWO_STAGE).transform(test))
     return scored.select("customer_id", "spend_probability", "expected_if_spend", "predicted_spend", "predicted_spend_hard")
 
 
 @query("m_two_stage_board")
 def two_stage_board(t):
-    return train_two_stage(_features(t), FEATURES, rounds=ROUNDS)[1]
+    return train_two_stage(_features(t, "two_stage"), TWO_STAGE)[1]
 
 
 @query("m_leaderboard")
 def leaderboard(t):
-    return compare_models(_features(t), FEATURES, ts="first_purchase", rounds=ROUNDS, trees=TREES)[1]
+    return compare_models(_features(t), FEATURES, ts="first_purchase")[1]
 
 
 @query("m_segment_study")
 def segment_study(t):
     train, test = _split(t)
-    return v.segment_study(train, test, FEATURES, rounds=ROUNDS)
+    return v.segment_study(train, test, FEATURES)
 
 
 @query("v_cross_validation")
@@ -150,13 +207,13 @@ def cross_validation(t):
 @query("m_ridge_grid")
 def ridge_grid(t):
     folded = cut_lineage(time_series_folds(_split(t)[0]))
-    return v.ridge_grid(folded, FEATURES, [0.01, 1.0, 100.0])
+    return v.ridge_grid(folded, FEATURES, e.RIDGE_ALPHAS)
 
 
 @query("v_importance")
 def importance(t):
     train, _ = _split(t)
-    p = SpendPredictor.fit(train, e.forest("forest_100x10", numTrees=TREES), FEATURES, target=Y)
+    p = SpendPredictor.fit(train, e.forest("forest_100x10"), FEATURES, target=Y)
     return importance_table(t.spark, FEATURES, p.model.stages[-1].featureImportances.toArray())
 
 
@@ -180,7 +237,8 @@ def batch(t):
 @query("sc_single")
 def single(t):
     p, _ = _predictor(t)
-    return scoring_job.score_one(p, customer_table(t), 42)
+    known = coded_on_train(*_raw_sides(t), FEATURES)[1]
+    return scoring_job.score_one(p, known, 42)
 
 
 @query("sc_top")
@@ -205,13 +263,12 @@ def model_round_trip(t):
 
 @query("io_best_model")
 def best_model(t):
-    models, board = compare_models(_features(t), FEATURES, ts="first_purchase", rounds=ROUNDS, trees=TREES)
-    return scoring_job.score_top(best_of(models, board), _features(t), 10)
+    models, board = compare_models(_features(t), FEATURES, ts="first_purchase")
+    return scoring_job.score_top(best_of(models, board), coded_on_train(*_raw_sides(t), FEATURES)[1], 10)
 
 
 @query("sc_history_filter")
 def history_filter(t):
-    """Scores of customers known at the cutoff only."""
+    """Scores of all customers known at the cutoff."""
     p, _ = _predictor(t)
-    known = customer_table(t).filter(F.col("recency_days") <= SPEC.horizon_days)
-    return scoring_job.score_all(p, known)
+    return scoring_job.score_all(p, coded_on_train(*_raw_sides(t), FEATURES)[1])

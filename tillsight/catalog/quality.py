@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillsight.catalog.registry import query, rounded
-from tillsight.catalog.views import customer_table, order_profile
+from tillsight.catalog.registry import PAST, query, rounded
+from tillsight.catalog.views import WIDE, customer_table
 from tillsight.functions.columns import null_tokens_to_null, valid_email, valid_phone
+from tillsight.operators import customer as cu
 from tillsight.operators import profiling as p
 from tillsight.operators import routing as r
 from tillsight.operators.splits import temporal_split
@@ -106,24 +107,43 @@ def iqr_bounds(t):
 
 @query(
     "q_iqr_outliers", "lines",
-    IQR.format(x="line_item_amount", table="lines")
-    + """SELECT line_item_id, line_item_amount::DOUBLE < q1 - 0.5*(q3-q1) OR line_item_amount::DOUBLE > q3 + 0.5*(q3-q1) AS is_outlier
-         FROM lines, f""",
+    "WITH spread AS (SELECT line_item_id, CASE line_item_id % 97 WHEN 0 THEN 6 WHEN 1 THEN -4 ELSE 1 END * line_item_amount::DOUBLE AS v FROM lines), "
+    + IQR.format(x="v", table="spread").strip().removeprefix("WITH ")
+    + """ SELECT line_item_id, v < q1 - 1.5*(q3-q1) OR v > q3 + 1.5*(q3-q1) AS is_outlier FROM spread, f""",
 )
 def iqr_outliers(t):
-    return p.detect_outliers(t.lines, "line_item_amount", 0.5).select("line_item_id", "is_outlier")
+    """Some amounts are made far too large or negative, so that the fences have rows on both sides."""
+    factor = F.when(F.col("line_item_id") % 97 == 0, 6).when(F.col("line_item_id") % 97 == 1, -4).otherwise(1)
+    rows = t.lines.withColumn("v", factor * F.col("line_item_amount").cast("double"))
+    return p.detect_outliers(rows, "v").select("line_item_id", "is_outlier")
 
 
-@query(
-    "q_rule_errors", "profile",
-    """SELECT customer_id, CAST(recency_days > 1000 AS INT) + CAST(avg_order_value > 10000 AS INT) AS n_errors,
-              NOT (recency_days > 1000 OR avg_order_value > 10000) AS is_valid,
-              concat_ws('; ', CASE WHEN recency_days > 1000 THEN 'recency_days above 1000' END,
-                        CASE WHEN avg_order_value > 10000 THEN 'avg_order_value above 10000' END) AS messages FROM profile""",
-)
+# Every rule is broken by some rows: (column, divisor of the key, value).
+BROKEN = [("recency_days", 13, -1), ("frequency_30d", 17, -2), ("monetary_30d", 19, -3.5), ("frequency_60d", 23, -4),
+          ("monetary_60d", 29, -5.5), ("frequency_90d", 31, -6), ("monetary_90d", 37, -7.5), ("avg_order_value", 41, -8.5),
+          ("num_stores_visited", 43, 0)]
+
+
+def _broken_sql():
+    columns = ", ".join(f"CASE WHEN customer_id % {n} = 0 THEN {v} ELSE {c} END AS {c}" for c, n, v in BROKEN)
+    tests = []
+    for c, low, high in p.FEATURE_RANGES:
+        tests += [f"CASE WHEN {c} < {low} THEN '{c} below {low:g}' END"] if low is not None else []
+        tests += [f"CASE WHEN {c} > {high} THEN '{c} above {high:g}' END"] if high is not None else []
+    return f"""WITH st AS (SELECT customer_id, count(DISTINCT store_id) AS num_stores_visited FROM sales WHERE {PAST} GROUP BY 1),
+      b AS (SELECT customer_id, total_loyalty_points, {columns} FROM profile LEFT JOIN st USING (customer_id)
+            LEFT JOIN customers USING (customer_id)),
+      e AS (SELECT customer_id, list_filter([{', '.join(tests)}], lambda x: x IS NOT NULL) AS errors FROM b)
+      SELECT customer_id, len(errors)::INT AS n_errors, len(errors) = 0 AS is_valid, array_to_string(errors, '; ') AS messages FROM e"""
+
+
+@query("q_rule_errors", "profile sales customers", _broken_sql())
 def rule_errors(t):
-    ranges = [x for x in p.FEATURE_RANGES if x[0] not in ("total_loyalty_points", "num_stores_visited")]
-    out = p.validate_features(order_profile(t), ranges)
+    sales = cu.sales_with_lines(t.header, t.lines)
+    rows = cu.order_profile(sales, WIDE).join(cu.stores_visited(sales, WIDE), "customer_id", "left")
+    rows = rows.join(t.customers.select("customer_id", "total_loyalty_points"), "customer_id", "left")
+    rows = rows.withColumns({c: F.when(F.col("customer_id") % n == 0, F.lit(v)).otherwise(F.col(c)) for c, n, v in BROKEN})
+    out = p.validate_features(rows)
     return out.select("customer_id", F.size("errors").alias("n_errors"), "is_valid", F.concat_ws("; ", "errors").alias("messages"))
 
 

@@ -22,18 +22,25 @@ Rank = Callable[[Column], Column]
 
 
 def numeric_levels(c: Column | str) -> list[Column]:
-    """Three levels for any number: 0.1 % wide, 1e-8 wide, exact.
+    """Three levels for any number: 0.14 % wide, 4e-8 wide, exact.
 
-    Buckets follow the signed logarithm, so a few huge outliers cannot push all
-    other values into one bucket, and no minimum or maximum has to be known.
+    Buckets follow the sign and the binary logarithm, so they separate values of all
+    magnitudes alike, tiny ones as well as huge ones, and no minimum or maximum has to be
+    known. Infinities and NaN (the largest value) have buckets of their own.
     """
     c = col(c)
     x = c.cast("double")
-    scale = F.signum(x) * F.log1p(F.abs(x))
-    # Null values are dropped by the last level. The buckets are declared non-null,
-    # or Spark would compute them once more in a filter below every join.
-    bucket = lambda width: F.coalesce(F.floor(scale * width), F.lit(0))
-    return [bucket(1e3), bucket(1e8), c]
+
+    def bucket(steps: int) -> Column:
+        # The smallest positive double is 2 ** -1074: the offset keeps all buckets positive.
+        place = F.floor(F.log2(F.abs(x)) * steps) + 2000 * steps
+        place = F.when(F.abs(x) == float("inf"), F.lit(1 << 61)).otherwise(place)
+        signed = F.when(F.isnan(x), F.lit(1 << 62)).when(x < 0, -place).otherwise(place)
+        # Null values are dropped by the last level. The buckets are declared non-null,
+        # or Spark would compute them once more in a filter below every join.
+        return F.coalesce(F.when(x == 0, F.lit(0)).otherwise(signed), F.lit(0))
+
+    return [bucket(1 << 9), bucket(1 << 24), c]
 
 
 def timestamp_levels(c: Column | str) -> list[Column]:

@@ -8,26 +8,34 @@ from pyspark.sql import DataFrame, functions as F
 
 # Tree counts, depths and rates of the presets -----------------------------
 FORESTS = {
-    "forest_100x10": dict(numTrees=100, maxDepth=10, minInstancesPerNode=1),
+    "forest_100x10": dict(numTrees=100, maxDepth=10, minInstancesPerNode=1, featureSubsetStrategy="all"),
     "forest_200x12": dict(numTrees=200, maxDepth=12, minInstancesPerNode=10, featureSubsetStrategy="sqrt"),
     "forest_200x8": dict(numTrees=200, maxDepth=8, minInstancesPerNode=10, featureSubsetStrategy="sqrt"),
 }
 BOOSTED = {
     "boost_100x5": dict(maxIter=100, maxDepth=5, stepSize=0.1),
-    "boost_500x4": dict(maxIter=500, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
-    "boost_500x4_slow": dict(maxIter=500, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=10),
+    "boost_500x4": dict(maxIter=500, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=15),
+    "boost_500x4_slow": dict(maxIter=500, maxDepth=4, stepSize=0.03, subsamplingRate=0.8, minInstancesPerNode=15, featureSubsetStrategy="sqrt"),
     "boost_300x4": dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
-    "boost_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
-    # Stands in for the optional third-party booster, which is not installed.
-    "boost_300x5": dict(maxIter=300, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+    "boost_300x4_active": dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=5),
+    "boost_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="sqrt"),
+    # These two stand in for the optional third-party booster, which is not installed.
+    "boost_200x6": dict(maxIter=200, maxDepth=6, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="0.8"),
+    "boost_500x4_columns": dict(maxIter=500, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="0.8"),
 }
 CLASSIFIERS = {
-    "classify_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=20),
-    "classify_200x4": dict(maxIter=200, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
-    "classify_200x3": dict(maxIter=200, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
+    "classify_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=20, featureSubsetStrategy="sqrt"),
+    "classify_200x4": dict(maxIter=200, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=20),
+    "classify_200x4_buckets": dict(maxIter=200, maxDepth=4, stepSize=0.05, minInstancesPerNode=10),
+    "classify_200x3": dict(maxIter=200, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=15),
 }
-RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0]
+# Share of the training rows that decides when a preset stops.
+VALIDATION = {
+    "boost_500x4": 0.1, "boost_500x4_columns": 0.1, "boost_300x4": 0.15, "boost_300x3": 0.15, "classify_300x3": 0.15,
+}
+RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
 SEED = 42
+HELD_BACK = "is_validation"
 # End of fixed values --------------------------------------------------------------------
 
 
@@ -48,23 +56,39 @@ def ridge(train: DataFrame, alpha: float = 1.0, features: str = "features", labe
     )
 
 
-def forest(preset: str = "forest_200x8", features: str = "features", label: str = "label", **changes) -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol=features, labelCol=label, seed=SEED, **{**FORESTS[preset], **changes})
+def forest(preset: str = "forest_200x8", features: str = "features", label: str = "label") -> RandomForestRegressor:
+    return RandomForestRegressor(featuresCol=features, labelCol=label, seed=SEED, **FORESTS[preset])
+
+
+def boosted(preset: str = "boost_300x4", features: str = "features", label: str = "label") -> GBTRegressor:
+    """Presets with a validation share stop when the held-back rows stop improving."""
+    return _stopping(GBTRegressor(featuresCol=features, labelCol=label, seed=SEED, **BOOSTED[preset]), preset)
+
+
+def spend_classifier(preset: str = "classify_300x3", features: str = "features", label: str = "label") -> GBTClassifier:
+    return _stopping(GBTClassifier(featuresCol=features, labelCol=label, seed=SEED, **CLASSIFIERS[preset]), preset)
 
 
-def boosted(preset: str = "boost_300x4", features: str = "features", label: str = "label", validation: str | None = None, **changes) -> GBTRegressor:
-    """With ``validation``, training stops when the flagged rows stop improving."""
-    extra = {"validationIndicatorCol": validation} if validation else {}
-    return GBTRegressor(featuresCol=features, labelCol=label, seed=SEED, **{**BOOSTED[preset], **extra, **changes})
+def _stopping(estimator, preset: str):
+    if preset in VALIDATION:
+        estimator.setValidationIndicatorCol(HELD_BACK)
+        estimator.validation_share = VALIDATION[preset]
+    return estimator
 
 
-def spend_classifier(preset: str = "classify_300x3", features: str = "features", label: str = "label", **changes) -> GBTClassifier:
-    return GBTClassifier(featuresCol=features, labelCol=label, seed=SEED, **{**CLASSIFIERS[preset], **changes})
+def with_held_back(rows: DataFrame, estimator, key: str = "customer_id") -> DataFrame:
+    """Marks the rows that an early-stopping estimator validates on, drawn by a hash of the
+    key; other estimators get the rows as they are, and rows that are marked already stay."""
+    share = getattr(estimator, "validation_share", None)
+    if share is None or HELD_BACK in rows.columns:
+        return rows
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(10_000))
+    return rows.withColumn(HELD_BACK, place >= int((1 - share) * 10_000))
 
 
-def bucket_classifier(kind: str = "forest", features: str = "features", label: str = "label", **changes):
+def bucket_classifier(kind: str = "forest", features: str = "features", label: str = "label"):
     """Five spend buckets: a forest, or boosted trees one bucket against the rest."""
     if kind == "forest":
-        params = {"numTrees": 200, "maxDepth": 4, "minInstancesPerNode": 10, **changes}
+        params = {"numTrees": 200, "maxDepth": 4, "minInstancesPerNode": 10}
         return RandomForestClassifier(featuresCol=features, labelCol=label, seed=SEED, **params)
-    return OneVsRest(featuresCol=features, labelCol=label, classifier=spend_classifier("classify_200x4", features, label, **changes))
+    return OneVsRest(featuresCol=features, labelCol=label, classifier=spend_classifier("classify_200x4_buckets", features, label))

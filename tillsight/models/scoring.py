@@ -11,6 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.functions.columns import clip, round_even
+from tillsight.models.estimators import with_held_back
 from tillsight.models.prep import as_doubles, vector_stages
 from tillsight.operators.derived import prediction_band, score_tier
 from tillsight.operators.profiling import require_columns
@@ -31,6 +32,7 @@ class SpendPredictor:
             target: str = "future_spend_30d", name: str = "model", log_target: bool = False, scale: bool = True) -> "SpendPredictor":
         y = F.col(target).cast("double")
         rows = _texts(as_doubles(train, numeric), categorical).withColumn("label", F.log1p(y) if log_target else y)
+        rows = with_held_back(rows, estimator)
         stages = vector_stages(numeric, categorical, scale)
         return cls(Pipeline(stages=[*stages, estimator]).fit(rows), list(numeric), list(categorical), {}, name, log_target)
 

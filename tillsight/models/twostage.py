@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.functions.columns import clip
-from tillsight.models.estimators import boosted, spend_classifier
+from tillsight.models.estimators import boosted, spend_classifier, with_held_back
 from tillsight.models.prep import as_doubles, vector_stages
 from tillsight.operators.derived import target_cap
 
@@ -64,20 +64,20 @@ def fit_two_stage(
     target: str = "future_spend_30d",
     classifier: str = "classify_300x3",
     regressor: str = "boost_300x3",
-    rounds: int | None = None,
 ) -> TwoStageModel:
-    """Classifier on all rows (scaled), regressor on spenders (log of capped spend)."""
-    changes = {"maxIter": rounds} if rounds else {}
+    """Classifier on all rows (scaled), regressor on spenders (log of capped spend).
+    Presets with a validation share stop early in both stages."""
     rows = as_doubles(train, features)
     spends = F.col(target) > 0
     cap = target_cap(rows, target).first()["cap"]
     if cap is None:
         raise ValueError("two-stage training needs at least one spender")
     cap = float(cap)
-    label = rows.withColumn("label", spends.cast("double"))
-    stage1 = Pipeline(stages=[*vector_stages(features, scale=True), spend_classifier(classifier, **changes)]).fit(label)
+    first, second = spend_classifier(classifier), boosted(regressor)
+    label = with_held_back(rows.withColumn("label", spends.cast("double")), first)
+    stage1 = Pipeline(stages=[*vector_stages(features, scale=True), first]).fit(label)
     amounts = rows.filter(spends).withColumn("label", F.log1p(clip(F.col(target).cast("double"), high=cap)))
-    stage2 = Pipeline(stages=[*vector_stages(features, scale=False), boosted(regressor, **changes)]).fit(amounts)
+    stage2 = Pipeline(stages=[*vector_stages(features, scale=False), second]).fit(with_held_back(amounts, second))
     info = {
         "model_name": "Two-Stage",
         "trained_date": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),

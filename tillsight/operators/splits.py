@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.columns import col
 from tillsight.functions.ordering import Rank, attach, order_statistics, tie_break, time_then_key_levels
+from tillsight.session import cut_lineage
 
 KEY = "customer_id"
 
@@ -22,7 +23,11 @@ def sort_mark(ts: str, key: str) -> Column:
 
 
 def with_cuts(df: DataFrame, ts: str, key: str, ranks: Mapping[str, Rank]) -> DataFrame:
-    """Adds a struct ``_k`` with the sort marks at the given ranks (null if no such row)."""
+    """Adds a struct ``_k`` with the sort marks at the given ranks (null if no such row).
+
+    The frame is written once: the search reads two of its columns several times.
+    """
+    df = cut_lineage(df)
     found = order_statistics(df, time_then_key_levels(ts, key), ranks)
     at = lambda name: F.max(F.when(F.col("rank_name") == name, F.col("value"))).alias(name)
     return attach(df, found.agg(*[at(name) for name in ranks]))

@@ -41,7 +41,7 @@ def full_features(
 
 
 def rfm_features(
-    header: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame, spec: FeatureSpec
+    header: DataFrame, lines: DataFrame, products: DataFrame, customers: DataFrame, spec: FeatureSpec, coded: bool = True
 ) -> DataFrame:
     """The compact family: 19 features, three of them label codes."""
     past = spec.history(cu.TS)
@@ -71,15 +71,29 @@ def rfm_features(
             "customer_tenure_days": F.coalesce("customer_tenure_days", F.lit(365)),
         }
     )
-    out = label_encode(cut_lineage(out), ("loyalty_status", "segment_id", "top_category"))
-    return out.select(KEY, "first_purchase_date", "last_purchase", *PRESETS["rfm19"], *TARGETS)
+    features = PRESETS["rfm19"]
+    if coded:
+        out = label_encode(cut_lineage(out), coded_columns(features))
+    return out.select(KEY, "first_purchase_date", "last_purchase", *(features if coded else raw_names(features)), *TARGETS)
+
+
+def coded_columns(features: Sequence[str]) -> list[str]:
+    """The categories behind the encoded columns of a feature set."""
+    return [f.removesuffix("_encoded") for f in features if f.endswith("_encoded")]
+
+
+def raw_names(features: Sequence[str]) -> list[str]:
+    """The feature set with categories in place of their codes."""
+    return [f.removesuffix("_encoded") for f in features]
 
 
 def order_features(
-    header: DataFrame, lines: DataFrame, customers: DataFrame, spec: FeatureSpec, family: str = "momentum32"
+    header: DataFrame, lines: DataFrame, customers: DataFrame, spec: FeatureSpec, family: str = "momentum32",
+    coded: bool = True,
 ) -> DataFrame:
     """The families built on line totals per order: momentum32, two_stage,
-    interaction and velocity. The velocity family needs look-backs 7 to 90."""
+    interaction and velocity. The velocity family needs look-backs 7 to 90.
+    With ``coded=False`` categories stay text, to be coded on training rows."""
     sales = cu.sales_with_lines(header, lines)
     base = cu.order_profile(sales, spec)
     out = base.join(cu.stores_visited(sales, spec), KEY, "left")
@@ -108,7 +122,6 @@ def order_features(
     else:
         out = d.with_columns(out, d.momentum(), d.short_to_medium(), d.order_spread())
     features = PRESETS[family]
-    coded = [c for c in ("loyalty_status", "segment_id") if f"{c}_encoded" in features]
-    if coded:
-        out = label_encode(cut_lineage(out), coded)
-    return out.select(KEY, "first_purchase", "last_purchase", *features, *TARGETS)
+    if coded and coded_columns(features):
+        out = label_encode(cut_lineage(out), coded_columns(features))
+    return out.select(KEY, "first_purchase", "last_purchase", *(features if coded else raw_names(features)), *TARGETS)

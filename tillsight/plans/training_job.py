@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillsight.models import estimators as e
 from tillsight.models.baselines import BASELINES, with_baselines
-from tillsight.models.evaluate import evaluate_models, fit_quality, regression_metrics
+from tillsight.models.evaluate import best_threshold, evaluate_models, fit_quality, regression_metrics, threshold_grid
+from tillsight.models.prep import label_codes, label_encode
 from tillsight.models.scoring import SpendPredictor
 from tillsight.models.twostage import fit_two_stage, hard_decision
-from tillsight.operators.splits import temporal_split
+from tillsight.models.variants import fit_and_score, ridge_grid
+from tillsight.operators.splits import temporal_split, time_series_folds, validation_tail
+from tillsight.plans.feature_job import coded_columns
 from tillsight.session import cut_lineage
 
 TARGET = "future_spend_30d"
@@ -23,28 +26,53 @@ def split_features(features: DataFrame, ts: str = "last_purchase", share: float
     return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")
 
 
-def train_two_stage(features: DataFrame, names: Sequence[str], rounds: int | None = None):
-    """Baselines, two-stage soft and hard predictions; returns model and board."""
-    train, test = split_features(features)
-    model = fit_two_stage(train, names, rounds=rounds)
-    scored = hard_decision(model.transform(with_baselines(train, test)))
-    predictions = {**BASELINES, "Two-Stage Soft": "predicted_spend", "Two-Stage Hard": "predicted_spend_hard"}
+def coded_on_train(train: DataFrame, test: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with codes that the training rows alone define for the ``_encoded``
+    features; categories that only test rows have, and nulls, get the code -1."""
+    columns = coded_columns(names)
+    if not columns:
+        return train, test
+    codes = cut_lineage(label_codes(train, columns))
+    return tuple(cut_lineage(label_encode(side, columns, codes, unknown=-1)) for side in (train, test))
+
+
+def train_two_stage(features: DataFrame, names: Sequence[str]):
+    """Baselines, single-stage boosting, and two-stage predictions: soft, hard at 0.5, and
+    hard at the threshold with the best R2 on the latest training rows. Returns model and board."""
+    train, test = coded_on_train(*split_features(features), names)
+    model = fit_two_stage(train, names)
+    scored = with_baselines(train, test)
+    scored = hard_decision(model.transform(scored))
+    scored = hard_decision(scored, tuned_threshold(train, names), "predicted_spend_tuned")
+    single = fit_and_score(train, test, names, e.boosted("boost_300x4"), TARGET)
+    scored = scored.join(single.select("customer_id", F.col("prediction").alias("predicted_single")), "customer_id")
+    predictions = {
+        **BASELINES, "Single-Stage": "predicted_single", "Two-Stage Soft": "predicted_spend",
+        "Two-Stage Hard": "predicted_spend_hard", "Two-Stage Tuned": "predicted_spend_tuned",
+    }
     return model, evaluate_models(scored, "target_capped", predictions)
 
 
+def tuned_threshold(train: DataFrame, names: Sequence[str], share: float = 0.15) -> float:
+    """The decision threshold that a model of the earlier training rows needs on the later
+    ones; never tuned on test rows."""
+    tail = cut_lineage(validation_tail(train, share=share).withColumnRenamed("is_validation", "_late"))
+    scored = fit_two_stage(tail.filter("NOT _late").drop("_late"), names).transform(tail.filter("_late").drop("_late"))
+    best = best_threshold(threshold_grid(scored, TARGET, "spend_probability", "expected_if_spend")).first()
+    return float(best["threshold"]) if best else 0.5
+
+
 def compare_models(
     features: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), ts: str = "first_purchase_date",
-    rounds: int | None = None, trees: int | None = None,
 ) -> tuple[dict[str, SpendPredictor], DataFrame]:
-    """Linear, forest and boosted trees on one split: fitted models and a board
-    with train and test metrics, best test MAE first."""
-    train, test = split_features(features, ts)
-    boost = {"maxIter": rounds} if rounds else {}
-    grow = {"numTrees": trees} if trees else {}
+    """Linear, ridge with a penalty tuned on time folds, forest and boosted trees on one
+    split: fitted models and a board with train and test metrics, best test MAE first."""
+    train, test = coded_on_train(*split_features(features, ts), numeric)
     choices = {
         "Linear Regression": e.linear(),
-        "Random Forest": e.forest("forest_100x10", **grow),
-        "Gradient Boosting": e.boosted("boost_300x5", **boost),
+        "Ridge Regression": e.ridge(train.withColumn("label", F.col(TARGET).cast("double")), best_alpha(train, numeric, ts)),
+        "Random Forest": e.forest("forest_200x12"),
+        "Gradient Boosting": e.boosted("boost_200x6"),
     }
     models, board = {}, None
     for name, estimator in choices.items():
@@ -61,6 +89,12 @@ def compare_models(
     return models, board
 
 
+def best_alpha(train: DataFrame, names: Sequence[str], ts: str) -> float:
+    """The ridge penalty with the smallest mean error on time folds of the training rows."""
+    folded = cut_lineage(time_series_folds(train, ts))
+    return float(ridge_grid(folded, names, e.RIDGE_ALPHAS).first()["alpha"])
+
+
 def best_of(models: dict[str, SpendPredictor], board: DataFrame) -> SpendPredictor:
     """The model that the board ranks first is the one that is kept."""
     return models[board.first()["model"]]

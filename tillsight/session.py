@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,30 +38,50 @@ def build_session(app: str = "tillsight", master: str | None = None, **settings)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a private one only in local mode."""
+    """The shared folder named by the cluster; below the warehouse in local mode without one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="tillsight-checkpoint-")
+    named = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_frames")
     spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
+_written: list[list[str]] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a frame that several jobs read to the shared folder and read it back.
 
     Model fits read their input dozens of times. From a written table a lost task
     re-reads files instead of replaying joins, and later readers keep column
     pruning, filter pushdown and real sizes, which an RDD checkpoint would hide.
+    Inside ``owned_frames`` the table is dropped at the end.
     """
     spark = df.sparkSession
     path = shared_folder(spark, f"frame-{uuid.uuid4().hex}")
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def owned_frames(spark: SparkSession) -> Iterator[None]:
+    """Drops the frames that a job wrote with ``cut_lineage`` when its block ends, also
+    after an error. Results must be written or collected inside the block."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder for tables that a later step reads back."""
     return os.path.join(checkpoint_dir(spark), name)
