@@ -59,12 +59,25 @@ def predictions(t):
     return rounded(t.spark.read.parquet(io.write_table(out, _folder(t), "predictions")))
 
 
-@query("io_feature_catalogue")
+CATALOGUE = ["recency_days", *[f"{m}_{d}d" for d in (30, 60, 90) for m in ("frequency", "monetary")]]
+
+
+@query(
+    "io_feature_catalogue", "cust",
+    " UNION ALL ".join(f"SELECT 'rfm' AS feature_group, '{f}' AS feature, count({f}) AS filled FROM cust" for f in CATALOGUE),
+)
 def feature_catalogue(t):
     return io.feature_catalogue(customer_table(t))
 
 
-@query("io_metric_sink")
+@query(
+    "io_metric_sink", "scored",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS model, round(avg(abs(future_spend_30d - {c})), 3) AS mae, round(sqrt(avg((future_spend_30d - {c}) ** 2)), 3) AS rmse FROM scored"
+        for n, c in (("Recent", "predicted"), ("Lifetime", "amount"))
+    ),
+)
 def metric_sink(t):
     board = evaluate_models(scored(t), "future_spend_30d", {"Recent": "predicted", "Lifetime": "amount"})
-    return t.spark.read.parquet(io.write_table(board, _folder(t), "model_comparison"))
+    written = t.spark.read.parquet(io.write_table(board, _folder(t), "model_comparison"))
+    return written.select("model", F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"))

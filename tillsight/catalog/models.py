@@ -61,11 +61,21 @@ def _scores(t, estimator, log=True):
     return v.fit_and_score(train, test, FEATURES, estimator, Y, log).select("customer_id", "target_capped", "prediction")
 
 
-@query("p_vector")
+@query(
+    "p_vector", "customers",
+    """WITH x AS (SELECT *, avg(total_loyalty_points) OVER () AS m, stddev_samp(total_loyalty_points) OVER () AS d FROM customers),
+      lo AS (SELECT list(DISTINCT loyalty_status ORDER BY loyalty_status) AS names FROM customers),
+      se AS (SELECT list(DISTINCT segment_id ORDER BY segment_id) AS names FROM customers),
+      v AS (SELECT customer_id, list_concat([round((total_loyalty_points - m) / d, 6)], list_concat(
+              list_transform(lo.names, lambda n: CAST(n = loyalty_status AS DOUBLE)), list_transform(se.names, lambda n: CAST(n = segment_id AS DOUBLE)))) AS features
+            FROM x, lo, se)
+      SELECT customer_id, CAST(i AS INT) AS place, features[i + 1] AS value FROM (SELECT *, unnest(range(len(features))) AS i FROM v)""",
+)
 def vector(t):
     rows = t.customers.select("customer_id", "loyalty_status", "segment_id", "total_loyalty_points")
     model = vector_pipeline(["total_loyalty_points"], ["loyalty_status", "segment_id"]).fit(rows)
-    return model.transform(rows).select("customer_id", vector_to_array("features").alias("features"))
+    cells = model.transform(rows).select("customer_id", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    return cells.withColumn("value", F.round("value", 6))
 
 
 @query(

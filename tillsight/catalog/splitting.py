@@ -35,7 +35,10 @@ def split_lines(t):
     return s.temporal_split(rows, "transaction_date", "line_item_id").select("line_item_id", "split")
 
 
-@query("s_random_split")
+@query(
+    "s_random_split", "cust",
+    """SELECT customer_id, CASE WHEN ('0x' || substr(md5(customer_id || ':42'), 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END AS split FROM cust""",
+)
 def random_split(t):
     return s.random_split(customer_table(t)).select(KEY, "split")
 
@@ -77,9 +80,9 @@ def top_spenders(t):
     return s.top_spenders(scored(t).select(KEY, "predicted"), 10, "predicted")
 
 
-@query("t_stable_sample")
+@query("t_stable_sample", "cust", "SELECT customer_id, total_frequency, total_monetary FROM cust ORDER BY md5(customer_id || ':42'), customer_id LIMIT 5")
 def stable_sample(t):
-    return s.stable_sample(customer_table(t), 5)
+    return s.stable_sample(customer_table(t), 5).select(KEY, "total_frequency", "total_monetary")
 
 
 @query(

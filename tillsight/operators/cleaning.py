@@ -17,6 +17,7 @@ from tillsight.functions.columns import (
 )
 from tillsight.functions.ordering import attach, exact_median
 from tillsight.operators.profiling import detect_outliers
+from tillsight.session import cut_lineage
 
 # Fixed values -------------------------------------------------------------------
 DEFAULT_OPENING_DATE = "2018-01-01"
@@ -78,9 +79,19 @@ def repaired_stock(c: Column | str = "current_stock_level") -> Column:
 
 
 def impute_price(products: DataFrame, price: str = "unit_price", category: str = "product_category") -> DataFrame:
-    """Null price: median of the category, else median of all prices."""
-    by_category = exact_median(products, price, [category], "_category_median")
-    joined = attach(products.join(by_category, category, "left"), exact_median(products, price, name="m"))
+    """Null price: median of the category, else median of all prices.
+
+    Both medians come from one search, in which every price counts for its category and
+    for the whole table. The two columns that it reads are written once.
+    """
+    prices = cut_lineage(products.select(F.col(category).alias("_category"), F.col(price).alias("_price")).filter(F.col(price).isNotNull()))
+    scopes = F.array(F.struct(F.lit(False).alias("_all"), F.col("_category").alias("_of")), F.struct(F.lit(True).alias("_all"), F.lit("").alias("_of")))
+    medians = exact_median(prices.select("_price", F.inline(scopes)), "_price", ["_all", "_of"], "_median")
+    medians = cut_lineage(medians)
+    by_category = medians.filter("NOT _all").select(F.col("_of").alias(category), F.col("_median").alias("_category_median"))
+    # One row at most.
+    overall = medians.filter("_all").agg(F.max("_median").alias("m"))
+    joined = attach(products.join(by_category, category, "left"), overall)
     filled = F.coalesce(F.col(price).cast("double"), F.col("_category_median"), F.col("_k.m"))
     return joined.withColumn(price, filled).select(*products.columns)
 

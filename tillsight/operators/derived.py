@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tillsight.functions.columns import clip, col, days_between, ratio
 from tillsight.functions.ordering import attach, exact_quantiles
 from tillsight.operators.periods import FeatureSpec
+from tillsight.session import cut_lineage
 
 # Fixed values -----------------------------------------------------------------------
 CATEGORICALS = [
@@ -166,9 +167,14 @@ def behaviour_segments(rfm: DataFrame) -> DataFrame:
     for frequency and spend.
     """
     thirds = {"low": 1 / 3, "high": 2 / 3}
-    out = rfm
-    for c in ("recency", "frequency", "monetary"):
-        out = attach(out, exact_quantiles(rfm, c, thirds), f"_{c}")
+    names = ("recency", "frequency", "monetary")
+    rfm = cut_lineage(rfm)
+    # One search for the three measures, as groups of one long column.
+    cells = F.array(*[F.struct(F.lit(c).alias("_measure"), F.col(c).cast("double").alias("_value")) for c in names])
+    found = exact_quantiles(rfm.select(F.inline(cells)), "_value", thirds, ["_measure"])
+    pick = lambda c, q: F.max(F.when(F.col("_measure") == c, F.col(q))).alias(q)
+    found = found.agg(*[F.struct(pick(c, "low"), pick(c, "high")).alias(f"_{c}") for c in names])
+    out = attach(rfm, found, "_thirds").withColumns({f"_{c}": F.col(f"_thirds._{c}") for c in names}).drop("_thirds")
     upper = lambda c: F.col(c) > F.col(f"_{c}.high")
     lower = lambda c: F.col(c) <= F.col(f"_{c}.low")
     recent, lapsed = lower("recency"), upper("recency")

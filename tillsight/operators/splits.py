@@ -52,9 +52,14 @@ def validation_tail(df: DataFrame, ts: str = "last_purchase", key: str = KEY, sh
     return out.withColumn("is_validation", late).drop("_k")
 
 
+def seeded(key: str, seed: int) -> Column:
+    """Hexadecimal digits that look random, from the key and a seed."""
+    return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+
+
 def random_split(df: DataFrame, key: str = KEY, share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Split by a hash of key and seed: the same rows on every run and layout."""
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    """Split by a hash of key and seed: the same rows on every run, layout and engine."""
+    place = F.conv(F.substring(seeded(key, seed), 1, 8), 16, 10).cast("long") % 10_000
     return df.withColumn("split", F.when(place < int(share * 10_000), "train").otherwise("test"))
 
 
@@ -107,8 +112,8 @@ def split_summary(df: DataFrame, ts: str = "last_purchase", target: str = "futur
 
 
 def stable_sample(df: DataFrame, n: int = 5, key: str = KEY, seed: int = 42) -> DataFrame:
-    """n pseudo-random rows, the same on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n pseudo-random rows, the same on every run and engine."""
+    return df.orderBy(seeded(key, seed), key).limit(n)
 
 
 def top_spenders(scored: DataFrame, n: int = 10, score: str = "predicted_spend_30d", key: str = KEY) -> DataFrame:

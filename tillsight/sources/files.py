@@ -67,8 +67,10 @@ def write_rejects(tagged: Mapping[str, DataFrame], folder: str, fmt: str = "parq
 
 
 def feature_catalogue(df: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """(group, feature) rows of the feature names that the frame really has."""
+    """(group, feature, filled) of the features that the frame really has; filled counts
+    the rows that hold a value, in one pass over the frame."""
     groups = feature_groups(categories) if categories is not None else feature_groups()
     present = set(df.columns)
-    rows = [(g, f) for g, names in groups.items() for f in names if f in present]
-    return df.sparkSession.createDataFrame(rows, "feature_group string, feature string")
+    names = [(g, f) for g, features in groups.items() for f in features if f in present]
+    cells = [F.struct(F.lit(g).alias("feature_group"), F.lit(f).alias("feature"), F.count(f"`{f}`").alias("filled")) for g, f in names]
+    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
