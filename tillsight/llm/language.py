@@ -99,11 +99,12 @@ def sample(docs: DataFrame, per_language: int) -> DataFrame:
 def train(docs: DataFrame, per_language: int = TRAIN_ROWS) -> Trees:
     """Fits the trees on rows (key, text, lang). The counts that reach the driver are those
     of the bounded sample."""
-    table = count_grams(sample(docs, per_language)).toPandas()
-    languages = sorted(table["lang"].unique())
-    keys, at = np.unique(table["gram"].to_numpy(np.uint32), return_inverse=True)
+    table = count_grams(sample(docs, per_language)).toArrow()
+    names = np.array(table["lang"].to_pylist(), dtype=object)
+    languages = sorted(set(names))
+    keys, at = np.unique(table["gram"].to_numpy().astype(np.uint32), return_inverse=True)
     counts = np.zeros((len(keys), len(languages)))
-    counts[at, np.searchsorted(languages, table["lang"])] = table["n"]
+    counts[at, [languages.index(x) for x in names]] = table["n"].to_numpy()
     levels = []
     for order in range(CONTEXT, -1, -1):
         levels.append((keys, counts))
