@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tillsight.session import checkpoint_dir
 
 # Tree counts, depths and rates of the presets -----------------------------
 FORESTS = {
@@ -79,6 +81,8 @@ def _stopping(estimator, preset: str):
 def with_held_back(rows: DataFrame, estimator, key: str = "customer_id") -> DataFrame:
     """Marks the rows that an early-stopping estimator validates on, drawn by a hash of the
     key; other estimators get the rows as they are, and rows that are marked already stay."""
+    if isinstance(estimator, (GBTRegressor, GBTClassifier)):
+        with_checkpoints(rows.sparkSession)
     share = getattr(estimator, "validation_share", None)
     if share is None or HELD_BACK in rows.columns:
         return rows
@@ -86,6 +90,13 @@ def with_held_back(rows: DataFrame, estimator, key: str = "customer_id") -> Data
     return rows.withColumn(HELD_BACK, place >= int((1 - share) * 10_000))
 
 
+def with_checkpoints(spark: SparkSession) -> None:
+    """Boosting keeps the errors of each round; without a shared folder for checkpoints a
+    lost executor would replay every round."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+
+
 def bucket_classifier(kind: str = "forest", features: str = "features", label: str = "label"):
     """Five spend buckets: a forest, or boosted trees one bucket against the rest."""
     if kind == "forest":
