@@ -7,10 +7,11 @@ so that nodes that meet often have the same pivot, and all others are compared w
 signatures are compared in batches of 32 hashes, and it is dropped as soon as the posterior
 probability of a similarity of 0.8, under a uniform prior, falls below ``MISS``.
 Survivors are verified exactly on their full sets. Components of these links leave few
-open questions: nodes of different components that met in a bucket without the pivot. For these,
-whole components are compared in cells of at most 64 by 256 sets, exactly and without
-listing pairs, so no pair that shares a bucket stays unanswered unless both sides are
-connected already. Nothing is capped.
+open questions: nodes of different components that met in a bucket without the pivot. Where
+few components met, each two of them are compared; where many did, the buckets that
+share components are taken together and their nodes dealt to blocks. Both go by cells of
+about 64 by 256 or 256 by 256 sets, exactly and without listing pairs, so no pair that
+shares a bucket stays unanswered unless both sides are connected already. Nothing is capped.
 
 A pair of similarity 0.8 shares no bucket with a probability of 3e-6; pairs of equal sets
 always do.
@@ -42,6 +43,7 @@ BATCH = 32  # hashes that are compared before each decision
 MISS = 1e-6  # posterior probability at which a pair is given up
 SHARE = 80  # percent of the union that the intersection must have
 CELL_LEFT, CELL_RIGHT = 64, 256  # sets that are compared at once
+FEW = 8  # components of a bucket that are compared pair by pair
 STEP = 8192  # shingles that are hashed at once
 
 SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -171,10 +173,6 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     return map_batches(rows, make, "node long, shingles binary").dropDuplicates(["node"])
 
 
-def similar(common: int, m: int, n: int) -> bool:
-    return 100 * common >= SHARE * (m + n - common)
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar on their full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
@@ -185,7 +183,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             flags = []
             for s, t in zip(batch.column("s").to_pylist(), batch.column("t").to_pylist()):
                 x, y = unpacked(s), unpacked(t)
-                flags.append(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                flags.append(100 * common >= SHARE * (len(x) + len(y) - common))
             return batch.select(["a", "b"]).filter(pa.array(flags, pa.bool_()))
 
         return run
@@ -199,16 +198,79 @@ def pivots(members: DataFrame) -> DataFrame:
     return found.filter("n > 1").select("bucket", "pivot")
 
 
-def open_questions(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(left, right): components that met in a bucket beside its pivot. Left is the smaller one."""
+def meetings(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, c, several): components that met in a bucket beside its pivot, where there are several."""
     met = members.join(buckets, "bucket").filter("node <> pivot").join(labels, "node", "left")
     met = met.select("bucket", F.coalesce("component", "node").alias("c")).distinct()
-    several = met.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    met = cut_lineage(met.join(several, "bucket"))
+    counts = met.groupBy("bucket").agg(F.count("*").alias("several")).filter("several > 1")
+    return met.join(counts, "bucket")
+
+
+def open_questions(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(left, right): pairs of components that met in a bucket of few. Left is the smaller one."""
+    few = met.filter(F.col("several") <= FEW).select("bucket", "c")
     sizes = labels.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("size"))
-    sized = met.join(sizes, "c", "left").select("bucket", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "c").alias("x"))
+    sized = few.join(sizes, "c", "left").select("bucket", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "c").alias("x"))
     pairs = sized.join(sized.select("bucket", F.col("x").alias("y")), "bucket").filter("x < y")
-    return pairs.select(F.col("x.c").alias("left"), F.col("y.c").alias("right"), F.col("y.size").alias("size")).distinct()
+    return pairs.select(F.col("x.c").alias("left"), F.col("y.c").alias("right")).distinct()
+
+
+def neighbourhoods(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(group, node, component, major): the nodes of components that met in buckets of many,
+    grouped by buckets that share components; major tells the group's largest component."""
+    many = met.filter(F.col("several") > FEW)
+    # A bucket and a component are both 64-bit hashes here: nodes of one graph.
+    groups = components(many.select(F.col("bucket").alias("a"), F.col("c").alias("b")))
+    placed = many.select("c").distinct().join(groups, F.col("c") == F.col("node")).select(F.col("component").alias("group"), "c")
+    nodes = placed.join(labels.select(F.col("component").alias("c"), "node"), "c", "left")
+    nodes = cut_lineage(nodes.select("group", "c", F.coalesce("node", "c").alias("node")))
+    sizes = nodes.groupBy("group", "c").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("group").agg(F.max(F.struct("size", "c")).alias("top")).select("group", F.col("top.c").alias("top"))
+    return nodes.join(largest, "group").select("group", "node", F.col("c").alias("component"), (F.col("c") == F.col("top")).alias("major"))
+
+
+def links_within(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links between different components of a group. Its nodes are dealt to blocks,
+    and each pair of blocks is one cell, but for pairs of the largest component's own blocks."""
+    near = cut_lineage(near)
+    counts = near.groupBy("group").agg(F.count_if("major").alias("n"), F.count_if(~F.col("major")).alias("m"))
+    blocks = counts.select("group", *[F.greatest(F.ceil(F.col(c) / CELL_RIGHT).cast("int"), F.lit(1)).alias(c) for c in "mn"])
+    place = F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("n")).otherwise(F.col("m"))).cast("int")
+    rows = near.join(blocks, "group").withColumn("block", place + F.when(F.col("major"), F.col("m")).otherwise(0))
+    others = F.when(F.col("major"), F.sequence(F.lit(0), F.col("m") - 1)).otherwise(F.sequence(F.lit(0), F.col("m") + F.col("n") - 1))
+    rows = rows.select("group", "node", "component", "block", F.explode(others).alias("other"))
+    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    rows = rows.join(sets, "node").select("group", "low", "high", "node", "component", "block", "shingles")
+
+    def cell(table: pa.Table) -> pa.Table:
+        low = table["low"][0].as_py()
+        left = np.array(table["block"].to_pylist()) == low
+        right = ~left if low != table["high"][0].as_py() else left
+        pick = lambda flags: table.filter(pa.array(flags))
+        return linked(pick(left), pick(right))
+
+    return rows.groupBy("group", "low", "high").applyInArrow(cell, "a long, b long")
+
+
+def linked(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The similar pairs of different components among rows (node, component, shingles) of two blocks."""
+    found: list[tuple[int, int]] = []
+    if left.num_rows and right.num_rows:
+        names, owners = (np.array(right[c].to_pylist(), dtype=np.int64) for c in ("node", "component"))
+        others = [unpacked(x) for x in right["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in others])
+        joined = np.concatenate(others)
+        order = np.argsort(joined, kind="stable")
+        joined, owner = joined[order], np.repeat(np.arange(len(others)), sizes)[order]
+        for node, component, data in zip(*(left[c].to_pylist() for c in ("node", "component", "shingles"))):
+            own = unpacked(data)
+            low, high = np.searchsorted(joined, own), np.searchsorted(joined, own, side="right")
+            spans = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+            common = np.bincount(owner[at], minlength=len(others))
+            similar = 100 * common >= SHARE * (len(own) + sizes - common)
+            found += [(node, int(names[k])) for k in np.flatnonzero(similar & (owners != component))]
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
 def links_between(questions: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
@@ -233,26 +295,16 @@ def links_between(questions: DataFrame, labels: DataFrame, sets: DataFrame) -> D
     right = right.join(sets.select(F.col("node").alias("b"), "shingles"), "b")
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int]] = []
-        if left.num_rows and right.num_rows:
-            names = np.array(right["b"].to_pylist(), dtype=np.int64)
-            others = [unpacked(x) for x in right["shingles"].to_pylist()]
-            sizes = np.array([len(x) for x in others])
-            joined = np.concatenate(others)
-            order = np.argsort(joined, kind="stable")
-            joined, owner = joined[order], np.repeat(np.arange(len(others)), sizes)[order]
-            for a, data in zip(left["a"].to_pylist(), left["shingles"].to_pylist()):
-                own = unpacked(data)
-                low, high = np.searchsorted(joined, own), np.searchsorted(joined, own, side="right")
-                spans = high - low
-                at = np.repeat(low - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
-                common = np.bincount(owner[at], minlength=len(others))
-                for k in np.flatnonzero(100 * common >= SHARE * (len(own) + sizes - common)):
-                    found.append((a, int(names[k])))
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
-
-    key = ("right", "i", "j")
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(cell, "a long, b long")
+        # The sides are different components by their question.
+        sides = (x.rename_columns([*x.column_names[:-2], "node", "shingles"]) for x in (left, right))
+        mark = lambda x, i: x.append_column("component", pa.array([i] * x.num_rows, pa.int64()))
+        return linked(*(mark(x, i) for i, x in enumerate(sides)))
+
+    # Own names on each side: both come from the same tables.
+    left, right = (x.select("right", "i", "j", y, "shingles") for x, y in ((left, "a"), (right, "b")))
+    left, right = left.toDF("to", "row", "column", "a", "own"), right.toDF("from", "i", "j", "b", "shingles")
+    cells = left.groupBy("to", "row", "column").cogroup(right.groupBy("from", "i", "j"))
+    return cells.applyInArrow(cell, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -269,8 +321,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = cut_lineage(full_sets(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
     links = cut_lineage(verified(pairs, sets))
     labels = cut_lineage(components(links))
-    questions = cut_lineage(open_questions(members, buckets, labels))
-    more = open_links(docs, nodes, labels, questions)
+    met = cut_lineage(meetings(members, buckets, labels))
+    more = open_links(docs, nodes, labels, met)
     if more is not None:
         labels = cut_lineage(components(links.union(more)))
     smallest = labels.join(nodes.select("node", "doc"), "node")
@@ -281,13 +333,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "version", F.col("size").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def open_links(docs: DataFrame, nodes: DataFrame, labels: DataFrame, questions: DataFrame) -> DataFrame | None:
-    if questions.isEmpty():
+def open_links(docs: DataFrame, nodes: DataFrame, labels: DataFrame, met: DataFrame) -> DataFrame | None:
+    """(a, b): the links that the comparisons with pivots left open."""
+    if met.isEmpty():
         return None
-    asked = questions.select(F.col("left").alias("component")).union(questions.select("right")).distinct()
-    wanted = asked.join(labels, "component", "left").select(F.coalesce("node", "component").alias("node"))
-    sets = cut_lineage(full_sets(docs, nodes, wanted))
-    return cut_lineage(links_between(questions, labels, sets))
+    wanted = met.select(F.col("c").alias("component")).distinct().join(labels, "component", "left")
+    sets = cut_lineage(full_sets(docs, nodes, wanted.select(F.coalesce("node", "component").alias("node"))))
+    few = links_between(cut_lineage(open_questions(met, labels)), labels, sets)
+    return cut_lineage(few.union(links_within(neighbourhoods(met, labels), sets)))
 
 
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
