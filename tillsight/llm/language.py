@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.llm.arrowio import map_batches, split
+from tillsight.llm.sized import small
+from tillsight.session import cut_lineage
 
 CONTEXT = 3  # bytes of context of the longest order
 TRAIN_ROWS = 1500  # sampled rows for each language
@@ -91,7 +93,8 @@ def count_grams(labelled: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, per_language: int) -> DataFrame:
     """About so many rows of each language, drawn by a hash of the row."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count()
+    # One row per language: texts are never shuffled to meet it.
+    sizes = small(cut_lineage(rows.groupBy("lang").count()))
     share = F.xxhash64("text", "key").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))
     return rows.join(sizes, "lang").filter(share * F.col("count") < per_language).select("text", "lang")
 
