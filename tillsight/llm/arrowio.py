@@ -39,12 +39,14 @@ def texts(column: pa.Array) -> list[str]:
 def remembered(key: tuple, make: Callable[[], object]) -> object:
     """An object that a worker process keeps for its later tasks, such as a vocabulary.
 
-    The package travels by value, so its own globals are new in each task.
+    The package travels by value, so its own globals are new in each task. A worker keeps
+    one object: what an earlier stage left is dropped when another stage begins.
     """
-    store = sys.modules.setdefault("tillsight_worker_memory", types.ModuleType("tillsight_worker_memory")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    memory = sys.modules.setdefault("tillsight_worker_memory", types.ModuleType("tillsight_worker_memory"))
+    if getattr(memory, "key", None) != key:
+        memory.key = memory.value = None
+        memory.value, memory.key = make(), key
+    return memory.value
 
 
 def partitions_for(df: DataFrame, rows: int, per_task: int) -> int:

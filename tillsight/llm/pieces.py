@@ -30,8 +30,8 @@ from tillsight.llm.arrowio import map_batches, remembered, texts
 BLANK = "▁"  # stands for a blank inside pieces
 NEVER = float("inf")  # rank of what is no piece
 NONE = -1  # no piece
-CACHE_CHUNKS = 700_000  # chunks whose ids a worker remembers
-CACHE_PAIRS = 400_000  # and pairs of pieces
+CACHE_CHUNKS = 300_000  # chunks whose ids a worker remembers
+CACHE_PAIRS = 250_000  # and pairs of pieces
 
 
 class PieceEncoder:

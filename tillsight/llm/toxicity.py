@@ -33,7 +33,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm.arrowio import map_batches, split, texts
+from tillsight.llm.arrowio import map_batches, remembered, split, texts
 from tillsight.llm.language import rest
 from tillsight.session import cut_lineage
 
@@ -75,7 +75,7 @@ def entries(word: str) -> list[str]:
 class Tokens:
     """Flags of tokens under a lexicon {key: log odds}; remembers them."""
 
-    def __init__(self, lexicon: dict[str, float], limit: int = 500_000):
+    def __init__(self, lexicon: dict[str, float], limit: int = 200_000):
         self.lexicon, self.limit, self.known = lexicon, limit, {}
 
     def flags(self, words: list[str]) -> np.ndarray:
@@ -142,7 +142,8 @@ def with_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFram
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        judges = [Tokens(x) for x in shared.value]
+        key = ("toxicity", *(tuple(sorted(x.items())) for x in shared.value))
+        judges = remembered(key, lambda: [Tokens(x) for x in shared.value])
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             halves = batch.column("half").to_pylist()
