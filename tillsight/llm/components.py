@@ -8,9 +8,12 @@ from tillsight.session import cut_lineage
 
 
 def nearest(edges: DataFrame) -> DataFrame:
-    """(a, b, least): each edge with the smallest neighbour of its node a, or a itself."""
+    """(a, b, least): each edge with the smallest neighbour of its node a, or a itself.
+
+    The minima are written first, so that Spark can split the edges of one node in the join.
+    """
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("least"))
-    return edges.join(least, "a")
+    return edges.join(cut_lineage(least), "a")
 
 
 def large_star(edges: DataFrame) -> DataFrame:
