@@ -18,11 +18,14 @@ each, ordered by their text; a null id comes first. An empty table gives no file
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -34,7 +37,14 @@ from tillsight.session import cut_lineage, shared_folder
 FRAME_IDS = 1 << 16  # a frame is closed after this many ids
 FILE_BYTES = 256 << 20  # a file is closed after this many bytes
 FRAMES_PER_TASK = 256  # read back by one task
-CACHE_WORDS = 400_000  # words whose ids a worker remembers
+TEXTS = 1024  # texts that are encoded at once
+CACHE_WORDS = 1_000_000  # words whose ids a worker remembers
+
+# Characters whose lower case was not checked to be the tokenizer's.
+UNUSUAL = re.compile(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]")
+
+MARKS = ".,;:!?%*&$#"
+PLAIN = re.compile(r"[a-zß-öø-ÿ]+").fullmatch
 
 MANIFEST = (
     "part int, file string, file_no int, frame int, documents long, ids long, first_doc long, last_doc long"
@@ -42,38 +52,92 @@ MANIFEST = (
 
 
 class WordEncoder:
-    """Encodes texts with the tokenizers library, each distinct word once.
+    """Encodes texts with the tokenizers library, each remembered word once.
 
-    Blanks and line ends are dropped by the tokenizer's pre-tokenizer and join
-    nothing across them, so a text's ids are those of its words in a row.
+    The pre-tokenizer drops white space and joins nothing across it, so the ids of a text
+    are those of its words in a row. Plain texts are lower-cased before, as the tokenizer
+    does anyway, which makes fewer words.
     """
 
     def __init__(self, vocabulary: str, end_id: int | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.symbols = byte_symbols()
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
         self.known: dict[str, bytes] = {}
 
+    def plain(self, text: str) -> str:
+        if not UNUSUAL.search(text):
+            low = text.lower()
+            if not any(x in low for x in self.added):
+                text = low
+        return text.replace("\n", " ")
+
     def encode(self, batch: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in batch]
-        self.learn({w for ws in words for w in ws} - self.known.keys())
-        return [b"".join(map(self.known.__getitem__, ws)) + self.end for ws in words]
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            # The words of this batch may have been among the forgotten ones.
-            words = words | self.forget()
-        words = list(words)
-        for start in range(0, len(words), 4096):
-            part = words[start : start + 4096]
+        """Each text's ids as bytes. The batch's words are numbered first, so that each
+        distinct one is looked up once."""
+        if not batch:
+            return []
+        words = pc.split_pattern(pa.array([self.plain(t) for t in batch], pa.large_string()), " ")
+        numbered = words.flatten().dictionary_encode()
+        names, which = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy()
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        ids = list(map(self.known.get, names))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        self.learn([names[i] for i in gaps])
+        for i in gaps:
+            ids[i] = self.known[names[i]]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        # The places of each word's ids, one word of the texts after the other.
+        spans = sizes[which]
+        ends = np.cumsum(spans)
+        at = np.repeat(starts[which] - (ends - spans), spans) + np.arange(ends[-1] if len(ends) else 0)
+        found = flat[at]
+        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return [found[x:y].tobytes() + self.end for x, y in zip(cuts, cuts[1:])]
+
+    def learn(self, words: list[str]) -> None:
+        """Remembers words. Letters and the marks after them are separate tokens before any
+        merge, so such words are put together from both."""
+        cut, rest = [], set()
+        for word in words:
+            letters = word.rstrip(MARKS)
+            if PLAIN(letters):
+                cut.append((word, letters, word[len(letters) :]))
+                rest.add(word[len(letters) :])
+            else:
+                rest.add(word)
+        rest = list(rest - self.known.keys())
+        for start in range(0, len(rest), 1024):
+            part = rest[start : start + 1024]
             for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, dtype="<u4").tobytes()
+                self.known[word] = struct.pack(f"<{len(got)}I", *got.ids)
+        for word, letters, marks in cut:
+            self.known[word] = (self.known.get(letters) or self.merge(letters)) + self.known[marks]
+
+    def merge(self, letters: str) -> bytes:
+        """The ids of one run of letters, which is a single token before any merge."""
+        symbols = letters if letters.isascii() else "".join([self.symbols[b] for b in letters.encode()])
+        ids = [t.id for t in self.tokenizer.model.tokenize(symbols)]
+        self.known[letters] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
+
 
-    def forget(self) -> set[str]:
-        old = set(self.known)
-        self.known.clear()
-        return old
+def byte_symbols() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: its own if it is a
+    visible one of Latin 1, else the next one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, spare = [], 256
+    for byte in range(256):
+        out.append(chr(byte if byte in visible else spare))
+        spare += byte not in visible
+    return out
 
 
 def pack_frame(documents: list[tuple[int | None, bytes]]) -> bytes:
@@ -115,7 +179,7 @@ class FileSet:
         if not self.waiting:
             return
         if self.writer is None:
-            self.writer = SeekableWriter(unique(self.folder, f"ids-{self.part:06d}-{self.number:04d}", ".zst"))
+            self.writer = SeekableWriter(unique(self.folder, f"ids-{self.part:06d}-{self.number:04d}", ".zst"), level=1)
         frame = self.writer.add(pack_frame(self.waiting))
         docs = [d for d, _ in self.waiting if d is not None]
         self.rows.append(
@@ -144,7 +208,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, id_co
         encoder = remembered(("words", vocabulary, end_id), lambda: WordEncoder(vocabulary, end_id))
         files = FileSet(folder, TaskContext.get().partitionId())
         for batch in batches:
-            for piece in split(batch):
+            for piece in split(batch, TEXTS):
                 for doc, ids in zip(piece.column(0).to_pylist(), encoder.encode(texts(piece.column(1)))):
                     files.add(doc, ids)
         files.close()
@@ -153,7 +217,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int | None = 2, id_co
         )
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text")
+    rows = rows.repartitionByRange("doc").sortWithinPartitions("doc", "text")
     manifest = cut_lineage(rows.mapInArrow(run, MANIFEST))
     inside = Window.partitionBy("file").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
     # One row per file: a few for each task, however large the corpus is.
