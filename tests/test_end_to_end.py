@@ -34,7 +34,7 @@ def raw(spark, tmp_path_factory):
 def test_csv_to_predictions(raw, monkeypatch):
     # Small presets: the sizes of the named ones are tested elsewhere.
     monkeypatch.setitem(estimators.FORESTS, "forest_200x12", dict(numTrees=3, maxDepth=4))
-    monkeypatch.setitem(estimators.BOOSTED, "boost_200x6", dict(maxIter=2, maxDepth=3))
+    monkeypatch.setitem(estimators.REGULARISED, "boost_200x6", dict(rounds=2, depth=3))
     clean = clean_all(raw, materialise=True).clean
     categories = sorted(r[0] for r in clean["products"].select("product_category").distinct().collect())
     features = feature_job.full_features(

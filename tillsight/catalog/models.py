@@ -10,6 +10,7 @@ from tillsight.catalog.registry import query
 from tillsight.catalog.views import SPEC, customer_table
 from tillsight.models import estimators as e
 from tillsight.models import variants as v
+from tillsight.models.boosting import BinnedMatrix, Boost, Fit, fit_all
 from tillsight.models.evaluate import importance_table, regression_metrics
 from tillsight.models.prep import as_doubles, vector_pipeline, vector_stages
 from tillsight.models.scoring import SpendPredictor
@@ -137,6 +138,92 @@ def round_trip_scores(t):
     return top.select("customer_id", F.round("prediction", 3).alias("predicted"))
 
 
+# Boosted trees ---------------------------------------------------------------------------
+
+SPLIT_ON = ["total_frequency", "frequency_30d", "frequency_60d", "frequency_90d", "recency_months"]
+
+
+def tree_sql(rows: str, rate: float, l1: float, l2: float, depth: int, out: str) -> str:
+    """One boosting round in SQL. ``rows`` gives customer_id, the class k, gradient g, curvature h
+    and margin m; each class grows its tree by trying every value of every feature as a cut."""
+    shrunk = lambda g: f"(sign({g}) * greatest(abs({g}) - {l1}, 0))"
+    score = lambda g, h: f"({shrunk(g)} ** 2 / nullif({h} + {l2}, 0) / 2)"
+    values = ", ".join(f"({j}, {f}::DOUBLE)" for j, f in enumerate(SPLIT_ON))
+    parts = [
+        "base AS (SELECT *, recency_days // 30 AS recency_months FROM cust)",
+        f"cells AS (SELECT customer_id, c.j, c.x FROM base, LATERAL (VALUES {values}) AS c(j, x))",
+        f"n0 AS (SELECT *, 0 AS node FROM ({rows}))",
+    ]
+    for d in range(depth):
+        parts += [
+            f"hist{d} AS (SELECT k, node, j, x, sum(g) AS g, sum(h) AS h FROM n{d} JOIN cells USING (customer_id) GROUP BY ALL)",
+            f"""cut{d} AS (SELECT k, node, j, x, sum(g) OVER below AS gl, sum(h) OVER below AS hl, sum(g) OVER whole AS g, sum(h) OVER whole AS h FROM hist{d}
+                 WINDOW below AS (PARTITION BY k, node, j ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), whole AS (PARTITION BY k, node, j))""",
+            f"""best{d} AS (SELECT *, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain FROM cut{d} WHERE gl IS NOT NULL
+                 QUALIFY row_number() OVER (PARTITION BY k, node ORDER BY gain DESC, j, x) = 1)""",
+            f"""n{d + 1} AS (SELECT n.customer_id, n.k, n.g, n.h, n.m, CASE WHEN b.gain > 1e-9 THEN 2 * n.node + 1 + (c.x >= b.x)::INT ELSE n.node END AS node
+                 FROM n{d} n LEFT JOIN best{d} b ON n.k = b.k AND n.node = b.node LEFT JOIN cells c ON c.customer_id = n.customer_id AND c.j = b.j)""",
+        ]
+    parts.append(f"leaves AS (SELECT k, node, -{rate} * {shrunk('sum(g)')} / (sum(h) + {l2}) AS v FROM n{depth} GROUP BY ALL)")
+    parts.append(f"grown AS (SELECT customer_id, k, m + v AS m FROM n{depth} JOIN leaves USING (k, node))")
+    return f"WITH {', '.join(parts)} {out}"
+
+
+def _grown(t, boost, label, depth=2):
+    """One round on all customers, with every value of the features as a cut."""
+    rows = customer_table(t).withColumn("recency_months", F.floor(F.col("recency_days") / 30))
+    matrix = BinnedMatrix.build(rows, SPLIT_ON, {"label": label})
+    return fit_all(matrix, {"one": Fit(boost, "label")})["one"].transform(rows)
+
+
+@query(
+    "m_tree_penalised", "cust",
+    tree_sql("SELECT customer_id, 0 AS k, a - future_spend_30d AS g, 1.0 AS h, a AS m FROM cust, (SELECT avg(future_spend_30d) AS a FROM cust)",
+             0.5, 100000.0, 3.0, 2, "SELECT customer_id, round(m, 2) AS predicted FROM grown"),
+)
+def tree_penalised(t):
+    """A tree whose leaves pay for their sum of gradients (L1) and for their square (L2)."""
+    boost = Boost(rounds=1, depth=2, rate=0.5, l1=100000.0, l2=3.0)
+    return _grown(t, boost, F.col(Y)).select("customer_id", F.round("prediction", 2).alias("predicted"))
+
+
+@query(
+    "m_tree_plain", "cust",
+    tree_sql("SELECT customer_id, 0 AS k, a - future_spend_30d AS g, 1.0 AS h, a AS m FROM cust, (SELECT avg(future_spend_30d) AS a FROM cust)",
+             1.0, 0.0, 0.0, 3, "SELECT customer_id, round(m, 2) AS predicted FROM grown"),
+)
+def tree_plain(t):
+    """Without penalties: leaves are the means of their customers."""
+    return _grown(t, Boost(rounds=1, depth=3, rate=1.0), F.col(Y)).select("customer_id", F.round("prediction", 2).alias("predicted"))
+
+
+@query(
+    "m_tree_logistic", "cust",
+    tree_sql("SELECT customer_id, 0 AS k, p - will_purchase_30d AS g, p * (1 - p) AS h, ln(p / (1 - p)) AS m FROM cust, (SELECT avg(will_purchase_30d) AS p FROM cust)",
+             0.3, 0.0, 1.0, 2, "SELECT customer_id, round(1 / (1 + exp(-m)), 6) AS probability FROM grown"),
+)
+def tree_logistic(t):
+    found = _grown(t, Boost(rounds=1, depth=2, rate=0.3, l2=1.0, objective="logistic"), F.col("will_purchase_30d"))
+    return found.select("customer_id", F.round(F.get("probability", F.lit(1)), 6).alias("probability"))
+
+
+@query(
+    "m_tree_buckets", "cust",
+    tree_sql("""SELECT customer_id, k, p - (bucket = k)::INT AS g, p * (1 - p) AS h, ln(p) AS m
+                FROM (SELECT customer_id, (future_spend_30d > 0)::INT + (future_spend_30d > 100000)::INT + (future_spend_30d > 200000)::INT AS bucket FROM cust),
+                     (SELECT (future_spend_30d > 0)::INT + (future_spend_30d > 100000)::INT + (future_spend_30d > 200000)::INT AS k,
+                             count(*) / (SELECT count(*) FROM cust) AS p FROM cust GROUP BY 1)""",
+             0.4, 0.0, 1.0, 2, """SELECT customer_id, CAST(k AS INT) AS bucket, round(exp(m) / sum(exp(m)) OVER (PARTITION BY customer_id), 6) AS probability FROM grown"""),
+)
+def tree_buckets(t):
+    """Softmax over four buckets of spend: one tree per bucket on the same histograms."""
+    y = F.col(Y)
+    bucket = sum((F.when(y > x, 1).otherwise(0) for x in (100_000, 200_000)), F.when(y > 0, 1).otherwise(0))
+    found = _grown(t, Boost(rounds=1, depth=2, rate=0.4, l2=1.0, objective="softmax", classes=4), bucket)
+    cells = found.select("customer_id", F.posexplode("probability").alias("bucket", "p"))
+    return cells.select("customer_id", "bucket", F.round("p", 6).alias("probability"))
+
+
 @query("m_linear")
 def linear(t):
     return _scores(t, e.linear(), log=False)

@@ -1,11 +1,12 @@
-"""Named model presets on MLlib's distributed estimators."""
+"""Named model presets on MLlib's distributed estimators and on boosted trees with penalties."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillsight.models.boosting import Boost, BoostedEstimator
 from tillsight.session import checkpoint_dir
 
 # Tree counts, depths and rates of the presets -----------------------------
@@ -21,16 +22,18 @@ BOOSTED = {
     "boost_300x4": dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10),
     "boost_300x4_active": dict(maxIter=300, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=5),
     "boost_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="sqrt"),
-    # These two stand in for the optional third-party booster, which is not installed.
-    "boost_200x6": dict(maxIter=200, maxDepth=6, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="0.8"),
-    "boost_500x4_columns": dict(maxIter=500, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=10, featureSubsetStrategy="0.8"),
 }
 CLASSIFIERS = {
     "classify_300x3": dict(maxIter=300, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=20, featureSubsetStrategy="sqrt"),
     "classify_200x4": dict(maxIter=200, maxDepth=4, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=20),
-    "classify_200x4_buckets": dict(maxIter=200, maxDepth=4, stepSize=0.05, minInstancesPerNode=10),
     "classify_200x3": dict(maxIter=200, maxDepth=3, stepSize=0.05, subsamplingRate=0.8, minInstancesPerNode=15),
 }
+# Trees with penalties on their leaves, and buckets of spend with one tree per bucket and round.
+REGULARISED = {
+    "boost_200x6": dict(rounds=200, depth=6, rate=0.05, row_share=0.8, column_share=0.8, min_curvature=10, l1=0.1, l2=1.0),
+    "boost_500x4_columns": dict(rounds=500, depth=4, rate=0.05, row_share=0.8, column_share=0.8, min_curvature=10, l1=0.1, l2=1.0, patience=20),
+    "buckets_200x4": dict(rounds=200, depth=4, rate=0.05, min_weight=10, objective="softmax", classes=5),
+}
 # Share of the training rows that decides when a preset stops.
 VALIDATION = {
     "boost_500x4": 0.1, "boost_500x4_columns": 0.1, "boost_300x4": 0.15, "boost_300x3": 0.15, "classify_300x3": 0.15,
@@ -71,6 +74,11 @@ def spend_classifier(preset: str = "classify_300x3", features: str = "features",
     return _stopping(GBTClassifier(featuresCol=features, labelCol=label, seed=SEED, **CLASSIFIERS[preset]), preset)
 
 
+def regularised(preset: str = "boost_200x6", features: str = "features", label: str = "label") -> BoostedEstimator:
+    """Second-order trees with penalties. Presets with patience stop on held-back rows."""
+    return BoostedEstimator(Boost(**REGULARISED[preset]), features, label, validation_share=VALIDATION.get(preset))
+
+
 def _stopping(estimator, preset: str):
     if preset in VALIDATION:
         estimator.setValidationIndicatorCol(HELD_BACK)
@@ -98,8 +106,8 @@ def with_checkpoints(spark: SparkSession) -> None:
 
 
 def bucket_classifier(kind: str = "forest", features: str = "features", label: str = "label"):
-    """Five spend buckets: a forest, or boosted trees one bucket against the rest."""
+    """Five spend buckets: a forest, or boosted trees with softmax, one for each bucket and round."""
     if kind == "forest":
         params = {"numTrees": 200, "maxDepth": 4, "minInstancesPerNode": 10}
         return RandomForestClassifier(featuresCol=features, labelCol=label, seed=SEED, **params)
-    return OneVsRest(featuresCol=features, labelCol=label, classifier=spend_classifier("classify_200x4_buckets", features, label))
+    return regularised("buckets_200x4", features, label)

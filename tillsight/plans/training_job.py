@@ -72,7 +72,7 @@ def compare_models(
         "Linear Regression": e.linear(),
         "Ridge Regression": e.ridge(train.withColumn("label", F.col(TARGET).cast("double")), best_alpha(train, numeric, ts)),
         "Random Forest": e.forest("forest_200x12"),
-        "Gradient Boosting": e.boosted("boost_200x6"),
+        "Gradient Boosting": e.regularised("boost_200x6"),
     }
     models, board = {}, None
     for name, estimator in choices.items():
