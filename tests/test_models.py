@@ -45,9 +45,9 @@ def test_ridge_is_the_closed_form(spark, alpha):
     y = x @ [2.0, -1.0, 0.5] + 7 + rng.normal(size=200)
     df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, label double")
     vec = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
-    w = e.ridge(vec, alpha).fit(vec).coefficients.toArray()
+    w = e.ridge(alpha).fit(vec).coefficients.toArray()
     xc, yc = x - x.mean(0), y - y.mean()
-    assert w == pytest.approx(np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc), rel=1e-5)
+    assert w == pytest.approx(np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc), rel=1e-10)
 
 
 def test_two_stage_ranges_and_round_trip(spark, split, tmp_path, quick):

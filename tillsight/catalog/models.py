@@ -1,4 +1,4 @@
-"""Fitted models: checked by rows and properties, not by SQL."""
+"""Fitted models: linear ones and single trees are fitted by SQL as well, the others checked by rows and properties."""
 
 import uuid
 
@@ -6,7 +6,9 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tillsight.catalog.registry import query
+from tillsight.catalog.derive import GAP, MOMENTUM, SHORT, SPREAD
+from tillsight.catalog.explore import TIER
+from tillsight.catalog.registry import PAST, query, rounded
 from tillsight.catalog.views import SPEC, customer_table
 from tillsight.models import estimators as e
 from tillsight.models import variants as v
@@ -15,7 +17,7 @@ from tillsight.models.evaluate import importance_table, regression_metrics
 from tillsight.models.prep import as_doubles, vector_pipeline, vector_stages
 from tillsight.models.scoring import SpendPredictor
 from tillsight.models.twostage import fit_two_stage, hard_decision
-from tillsight.operators.splits import time_series_folds, validation_tail
+from tillsight.operators.splits import validation_tail
 from tillsight.plans import feature_job as fj
 from tillsight.plans import scoring_job
 from tillsight.plans.training_job import best_of, coded_on_train, compare_models, split_features, train_two_stage
@@ -120,7 +122,7 @@ def ridge_one_feature(t):
     """Penalties on the scale of the feature's squares, so that each one moves the slope."""
     rows = cut_lineage(as_doubles(customer_table(t), ["total_monetary"]).withColumn("label", F.col(Y)))
     ready = vector_pipeline(["total_monetary"], scale=False).fit(rows).transform(rows)
-    found = [(a, round(float(e.ridge(ready, a * 1e9).fit(ready).coefficients[0]), 6)) for a in e.RIDGE_ALPHAS]
+    found = [(a, round(float(e.ridge(a * 1e9).fit(ready).coefficients[0]), 6)) for a in e.RIDGE_ALPHAS]
     return t.spark.createDataFrame(found, "alpha double, slope double")
 
 
@@ -138,6 +140,75 @@ def round_trip_scores(t):
     return top.select("customer_id", F.round("prediction", 3).alias("predicted"))
 
 
+# Linear models of all features -------------------------------------------------------------
+
+FORMULAS = {c: c for c in FEATURES} | MOMENTUM | SHORT | SPREAD | {"total_loyalty_points": "coalesce(points, 0)"}
+CODED = {"loyalty_status_encoded": "lo", "segment_id_encoded": "se"}
+CELLS = ", ".join(f"coalesce({CODED[c]}.code, -1)::DOUBLE" if c in CODED else f"coalesce(({FORMULAS[c]})::DOUBLE, 0)" for c in FEATURES)
+WIDTH = len(FEATURES)
+
+# Customers with their features x; the earliest 80 % are in the training rows, which define the codes.
+ML = f"""f AS (SELECT p.*, loyalty_status, segment_id, c.total_loyalty_points AS points, v.num_stores_visited, {GAP} AS avg_days_between_purchases,
+    row_number() OVER (ORDER BY last_purchase, md5(CAST(p.customer_id AS VARCHAR))) <= floor(0.8::DOUBLE * count(*) OVER ()) AS early
+  FROM profile p LEFT JOIN customers c ON p.customer_id = c.customer_id
+    JOIN (SELECT customer_id, count(DISTINCT store_id) AS num_stores_visited FROM sales WHERE {PAST} GROUP BY 1) v ON p.customer_id = v.customer_id),
+  lo AS (SELECT loyalty_status, row_number() OVER (ORDER BY loyalty_status) - 1 AS code FROM (SELECT DISTINCT loyalty_status FROM f WHERE early)),
+  se AS (SELECT segment_id, row_number() OVER (ORDER BY segment_id) - 1 AS code FROM (SELECT DISTINCT segment_id FROM f WHERE early)),
+  ml AS (SELECT customer_id, last_purchase, early, future_spend_30d AS y, [{CELLS}] AS x
+         FROM f LEFT JOIN lo USING (loyalty_status) LEFT JOIN se USING (segment_id)),
+  cap AS (SELECT quantile_cont(y, 0.99) AS cap FROM ml WHERE early AND y > 0)"""
+
+# Time slices of the training rows; fold i learns from the slices up to i and is tested on the next one.
+FOLDS = """ranked AS (SELECT *, row_number() OVER (ORDER BY last_purchase, md5(CAST(customer_id AS VARCHAR))) - 1 AS r, count(*) OVER () AS n FROM ml WHERE early),
+  sliced AS (SELECT *, greatest(0, 5 - ((n - 1 - r) // (n // 6))) AS slice FROM ranked),
+  folds AS (SELECT unnest(range(5)) AS fold),
+  caps AS (SELECT fold, quantile_cont(y, 0.99) AS cap FROM sliced, folds WHERE slice <= fold AND y > 0 GROUP BY fold)"""
+
+
+def linear_sql(train: str, alphas: str = "0.0") -> str:
+    """CTEs of linear models by elimination: ``train`` gives (id, customer_id, x, label); ``lin`` has, for each
+    id and penalty, the weights w of the scaled features, their means and deviations, and the label's mean."""
+    pivot = "m[k + 1][k + 1]"
+    gone = "list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: 0.0::DOUBLE) ELSE list_transform(r, lambda v, j: CASE WHEN j = k + 1 THEN 0.0::DOUBLE ELSE v END) END)"
+    step = f"list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / {pivot}) ELSE list_transform(r, lambda v, j: v - r[k + 1] * m[k + 1][j] / {pivot}) END)"
+    return f"""tr AS ({train}),
+  per AS (SELECT id, i, avg(x[i]) AS mu, stddev_samp(x[i]) AS sd FROM tr, range(1, {WIDTH + 1}) AS t(i) GROUP BY id, i),
+  st AS (SELECT id, list(mu ORDER BY i) AS mu, list(CASE WHEN sd > 1e-12 * abs(mu) THEN sd ELSE 0 END ORDER BY i) AS sd FROM per GROUP BY id),
+  lm AS (SELECT id, avg(label) AS ml FROM tr GROUP BY id),
+  zs AS (SELECT id, customer_id, list_append(list_transform(x, lambda v, i: CASE WHEN sd[i] > 0 THEN (v - mu[i]) / sd[i] ELSE 0 END), label - ml) AS z
+         FROM tr JOIN st USING (id) JOIN lm USING (id)),
+  grams AS (SELECT id, i, j, sum(z[i] * z[j]) AS v FROM zs, range(1, {WIDTH + 1}) AS a(i), range(1, {WIDTH + 2}) AS b(j) GROUP BY id, i, j),
+  alphas AS (SELECT unnest([{alphas}])::DOUBLE AS alpha),
+  augmented AS (SELECT id, alpha, i, list(CASE WHEN i = j THEN v + alpha ELSE v END ORDER BY j) AS line FROM grams, alphas GROUP BY id, alpha, i),
+  whole AS (SELECT id, alpha, list(line ORDER BY i) AS m, list(line[i] ORDER BY i) AS own FROM augmented GROUP BY id, alpha),
+  el AS (SELECT id, alpha, 0 AS k, m, own FROM whole
+         UNION ALL SELECT id, alpha, k + 1, CASE WHEN {pivot} > 1e-9 * own[k + 1] THEN {step} ELSE {gone} END, own FROM el WHERE k < {WIDTH}),
+  lin AS (SELECT id, alpha, list_transform(m, lambda r: r[{WIDTH + 1}]) AS w, mu, sd, ml FROM el JOIN st USING (id) JOIN lm USING (id) WHERE k = {WIDTH})"""
+
+
+SCORE = "ml + list_sum(list_transform(x, lambda v, i: CASE WHEN sd[i] > 0 THEN w[i] * (v - mu[i]) / sd[i] ELSE 0 END))"
+
+
+# Fold i learns from the slices up to i, with the target capped by its own spenders.
+FOLD_ROWS = "SELECT fold AS id, customer_id, x, ln(1 + least(y, cap)) AS label FROM sliced JOIN caps ON slice <= fold"
+FOLD_ERRORS = f"""errors AS (SELECT id, alpha, avg(abs(y - greatest(exp({SCORE}) - 1, 0))) AS mae
+  FROM (SELECT slice, y, x FROM sliced) s JOIN lin ON s.slice = lin.id + 1 GROUP BY id, alpha)"""
+PLAIN = linear_sql("SELECT 0 AS id, customer_id, x, y AS label FROM ml WHERE early")
+
+# Scores to one cent, their tier, and the band of the test rows' mean error.
+SCORES = f"""WITH RECURSIVE {ML}, {PLAIN}, scored AS (SELECT customer_id, early, y, greatest({SCORE}, 0) AS p FROM (SELECT customer_id, early, y, x FROM ml), lin),
+  mae AS (SELECT avg(abs(y - p)) AS mae FROM scored WHERE NOT early),
+  details AS (SELECT customer_id, early, round_even(p, 2) AS s FROM scored)
+  SELECT customer_id, round(s, 1) AS predicted_spend_30d, {TIER} AS spend_category,
+    round(greatest(s - mae, 0), 1) AS prediction_range_low, round(s + mae, 1) AS prediction_range_high
+  FROM details, mae WHERE {{0}} {{1}}"""
+
+
+def _rounded_scores(scored):
+    """Scores and bands to one digit, as engines differ in the last ones."""
+    return rounded(scored, 1)
+
+
 # Boosted trees ---------------------------------------------------------------------------
 
 SPLIT_ON = ["total_frequency", "frequency_30d", "frequency_60d", "frequency_90d", "recency_months"]
@@ -224,16 +295,22 @@ def tree_buckets(t):
     return cells.select("customer_id", "bucket", F.round("p", 6).alias("probability"))
 
 
-@query("m_linear")
+@query(
+    "m_linear", "profile sales customers",
+    f"""WITH RECURSIVE {ML}, {linear_sql("SELECT 0 AS id, customer_id, x, least(y, cap) AS label FROM ml, cap WHERE early")}
+      SELECT customer_id, least(y, cap) AS target_capped, round(greatest({SCORE}, 0), 1) AS prediction FROM (SELECT * EXCLUDE (early) FROM ml, cap WHERE NOT early), lin""",
+)
 def linear(t):
-    return _scores(t, e.linear(), log=False)
+    return _scores(t, e.linear(), log=False).withColumn("prediction", F.round("prediction", 1))
 
 
-@query("m_ridge")
+@query(
+    "m_ridge", "profile sales customers",
+    f"""WITH RECURSIVE {ML}, {linear_sql("SELECT 0 AS id, customer_id, x, ln(1 + least(y, cap)) AS label FROM ml, cap WHERE early", "1.0")}
+      SELECT customer_id, least(y, cap) AS target_capped, round(greatest(exp({SCORE}) - 1, 0), 1) AS prediction FROM (SELECT * FROM ml, cap WHERE NOT early), lin""",
+)
 def ridge(t):
-    train, test = _split(t)
-    labelled = train.withColumn("label", F.log1p(Y))
-    return v.fit_and_score(train, test, FEATURES, e.ridge(labelled, 1.0), Y).select("customer_id", "target_capped", "prediction")
+    return _scores(t, e.ridge(1.0)).withColumn("prediction", F.round("prediction", 1))
 
 
 @query("m_forest")
@@ -295,16 +372,23 @@ def segment_study(t):
     return v.segment_study(train, test, FEATURES)
 
 
-@query("v_cross_validation")
+@query(
+    "v_cross_validation", "profile sales customers",
+    f"""WITH RECURSIVE {ML}, {FOLDS}, {linear_sql(FOLD_ROWS)}, {FOLD_ERRORS}
+      SELECT 'Linear Regression' AS model, round(avg(mae), 2) AS cv_mae_mean, round(stddev_pop(mae), 2) AS cv_mae_std FROM errors""",
+)
 def cross_validation(t):
-    folded = cut_lineage(time_series_folds(_split(t)[0]))
-    return v.cross_validate(folded, FEATURES, {"Linear Regression": lambda _: e.linear()})
+    board = v.ridge_grid(_split(t)[0], FEATURES, [0.0])
+    return rounded(board.select(F.lit("Linear Regression").alias("model"), "cv_mae_mean", "cv_mae_std"), 2)
 
 
-@query("m_ridge_grid")
+@query(
+    "m_ridge_grid", "profile sales customers",
+    f"""WITH RECURSIVE {ML}, {FOLDS}, {linear_sql(FOLD_ROWS, ', '.join(map(str, e.RIDGE_ALPHAS)))}, {FOLD_ERRORS}
+      SELECT alpha, round(avg(mae), 2) AS cv_mae_mean, round(stddev_pop(mae), 2) AS cv_mae_std FROM errors GROUP BY alpha""",
+)
 def ridge_grid(t):
-    folded = cut_lineage(time_series_folds(_split(t)[0]))
-    return v.ridge_grid(folded, FEATURES, e.RIDGE_ALPHAS)
+    return rounded(v.ridge_grid(_split(t)[0], FEATURES, e.RIDGE_ALPHAS), 2)
 
 
 @query("v_importance")
@@ -319,43 +403,62 @@ def top_importance(t):
     return importance(t).limit(5)
 
 
-@query("v_coefficients")
+@query(
+    "v_coefficients", "profile sales customers",
+    f"""WITH RECURSIVE {ML}, {PLAIN}, names AS (SELECT {FEATURES} AS names)
+      SELECT names[i] AS feature, round(w[i], 2) AS importance FROM lin, names, range(1, {WIDTH + 1}) AS t(i)""",
+)
 def coefficients(t):
     p, _ = _predictor(t)
-    return importance_table(t.spark, FEATURES, p.model.stages[-1].coefficients.toArray())
+    return rounded(importance_table(t.spark, FEATURES, p.model.stages[-1].coefficients.toArray()), 2)
 
 
-@query("sc_batch")
+@query(
+    "sc_batch", "profile sales customers",
+    SCORES.format("NOT early", ""),
+)
 def batch(t):
     p, test = _predictor(t)
-    return scoring_job.score_all(p, test)
+    return _rounded_scores(scoring_job.score_all(p, test))
 
 
-@query("sc_single")
+@query(
+    "sc_single", "profile sales customers",
+    SCORES.format("customer_id = 42", ""),
+)
 def single(t):
     p, _ = _predictor(t)
     known = coded_on_train(*_raw_sides(t), FEATURES)[1]
-    return scoring_job.score_one(p, known, 42)
+    return _rounded_scores(scoring_job.score_one(p, known, 42))
 
 
-@query("sc_top")
+@query(
+    "sc_top", "profile sales customers",
+    SCORES.format("NOT early", "ORDER BY s DESC, customer_id LIMIT 10"),
+)
 def top(t):
     p, test = _predictor(t)
-    return scoring_job.score_top(p, test, 10)
+    return _rounded_scores(scoring_job.score_top(p, test, 10))
 
 
-@query("sc_sample")
+@query(
+    "sc_sample", "profile sales customers",
+    SCORES.format("NOT early", "ORDER BY md5(concat(customer_id, ':42')), customer_id LIMIT 5"),
+)
 def sample(t):
     p, test = _predictor(t)
-    return scoring_job.score_sample(p, test, 5)
+    return _rounded_scores(scoring_job.score_sample(p, test, 5))
 
 
-@query("io_model_round_trip")
+@query(
+    "io_model_round_trip", "profile sales customers",
+    SCORES.format("NOT early", ""),
+)
 def model_round_trip(t):
     p, test = _predictor(t)
     path = shared_folder(t.spark, f"predictor-{uuid.uuid4().hex}")
     p.save(path)
-    return scoring_job.score_all(SpendPredictor.load(t.spark, path), test)
+    return _rounded_scores(scoring_job.score_all(SpendPredictor.load(t.spark, path), test))
 
 
 @query("io_best_model")
@@ -364,8 +467,11 @@ def best_model(t):
     return scoring_job.score_top(best_of(models, board), coded_on_train(*_raw_sides(t), FEATURES)[1], 10)
 
 
-@query("sc_history_filter")
+@query(
+    "sc_history_filter", "profile sales customers",
+    SCORES.format("TRUE", ""),
+)
 def history_filter(t):
     """Scores of all customers known at the cutoff."""
     p, _ = _predictor(t)
-    return scoring_job.score_all(p, coded_on_train(*_raw_sides(t), FEATURES)[1])
+    return _rounded_scores(scoring_job.score_all(p, coded_on_train(*_raw_sides(t), FEATURES)[1]))

@@ -50,8 +50,9 @@ def with_ctes(names: str, body: str) -> str:
         return body
     body = body.strip()
     head = ",\n".join(f"{n} AS ({CTES[n]})" for n in wanted)
-    if body.startswith("WITH "):
-        return f"WITH {head},\n{body[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(start):
+            return f"{start}{head},\n{body[len(start):]}"
     return f"WITH {head}\n{body}"
 
 

@@ -1,12 +1,13 @@
-"""Named model presets on MLlib's distributed estimators and on boosted trees with penalties."""
+"""Named model presets on MLlib's distributed estimators, on sums of products, and on boosted trees with penalties."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.models.boosting import Boost, BoostedEstimator
+from tillsight.models.gram import GramRegression
 from tillsight.session import checkpoint_dir
 
 # Tree counts, depths and rates of the presets -----------------------------
@@ -44,21 +45,14 @@ HELD_BACK = "is_validation"
 # End of fixed values --------------------------------------------------------------------
 
 
-def linear(features: str = "features", label: str = "label", weight: str | None = None) -> LinearRegression:
-    return LinearRegression(featuresCol=features, labelCol=label, solver="normal", **({"weightCol": weight} if weight else {}))
+def linear(features: str = "features", label: str = "label") -> GramRegression:
+    """Least squares from one pass; columns that depend on earlier ones get no weight."""
+    return GramRegression(0.0, features, label)
 
 
-def ridge(train: DataFrame, alpha: float = 1.0, features: str = "features", label: str = "label") -> LinearRegression:
-    """Penalty alpha * |w|^2 on the plain sum of squared errors.
-
-    MLlib minimises a mean of squares on a label scaled by its deviation, so the
-    same penalty is alpha * deviation / rows.
-    """
-    k = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
-    reg = float(alpha) * float(k["s"] or 0.0) / max(int(k["n"]), 1)
-    return LinearRegression(
-        featuresCol=features, labelCol=label, solver="normal", elasticNetParam=0.0, standardization=False, regParam=reg
-    )
+def ridge(alpha: float = 1.0, features: str = "features", label: str = "label") -> GramRegression:
+    """Penalty alpha * |w|^2 on the plain sum of squared errors."""
+    return GramRegression(alpha, features, label)
 
 
 def forest(preset: str = "forest_200x8", features: str = "features", label: str = "label") -> RandomForestRegressor:

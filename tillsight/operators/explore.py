@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.functions.columns import as_ntz, days_between, is_weekend, mean, sample_std, shift_days, total, weekday_name
 from tillsight.functions.ordering import attach, exact_quantiles
+from tillsight.models.gram import correlation_cells
 
 KEY, TS, AMOUNT = "customer_id", "transaction_date", "total_amount"
 
@@ -178,14 +178,7 @@ def skewness(df: DataFrame, value: str) -> DataFrame:
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson matrix as rows (x, y, corr); null pairs are left out pair by pair."""
-    pairs = list(combinations(columns, 2))
-    d = {c: F.col(c).cast("double") for c in columns}
-    one = df.agg(*[F.corr(d[a], d[b]).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [(a, b, F.col(f"{a}|{b}")) for a, b in pairs]
-    cells += [(b, a, c) for a, b, c in cells]
-    cells += [(c, c, F.lit(1.0)) for c in columns]
-    rows = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), c.alias("corr")) for a, b, c in cells])
-    return one.select(F.inline(rows))
+    return correlation_cells(df, {c: F.col(f"`{c}`") for c in columns})
 
 
 def target_summary(df: DataFrame, target: str = "future_spend_30d") -> DataFrame:

@@ -63,23 +63,24 @@ def random_split(df: DataFrame, key: str = KEY, share: float = 0.8, seed: int =
     return df.withColumn("split", F.when(place < int(share * 10_000), "train").otherwise("test"))
 
 
-def time_series_folds(df: DataFrame, ts: str = "last_purchase", key: str = KEY, folds: int = 5) -> DataFrame:
-    """One copy of a row per fold it takes part in, with ``fold`` and ``role``.
-
-    With n rows and test size n // (folds + 1), fold i tests its own slice near
-    the end and trains on everything before it.
-    """
+def time_slices(df: DataFrame, ts: str = "last_purchase", key: str = KEY, folds: int = 5) -> DataFrame:
+    """Adds ``slice``: 0 before all tests, i + 1 for the rows that fold i tests. Each
+    of the last ``folds`` slices has n // (folds + 1) of the n rows."""
     size = lambda n: F.floor(n / (folds + 1))
     ranks = {f"b{i}": (lambda n, i=i: n - (folds - i) * size(n) - 1) for i in range(folds)}
     mark = F.col("_mark")
-    # Index of the slice a row falls in: 0 is before all tests, i + 1 is the test of fold i.
     slice_no = sum((F.when(mark <= F.col(f"_k.b{i}"), 0).otherwise(1) for i in range(folds)), F.lit(0))
     placed = with_cuts(df, ts, key, ranks).withColumn("_mark", sort_mark(ts, key))
-    placed = placed.withColumn("_slice", slice_no).drop("_mark", "_k")
-    first = F.greatest(F.col("_slice") - 1, F.lit(0))
-    out = placed.withColumn("fold", F.explode(F.sequence(first, F.lit(folds - 1))))
-    role = F.when(F.col("_slice") == F.col("fold") + 1, "test").otherwise("train")
-    return out.withColumn("role", role).drop("_slice")
+    return placed.withColumn("slice", slice_no).drop("_mark", "_k")
+
+
+def time_series_folds(df: DataFrame, ts: str = "last_purchase", key: str = KEY, folds: int = 5) -> DataFrame:
+    """One copy of a row per fold it takes part in, with ``fold`` and ``role``: fold i
+    tests its own slice and trains on everything before it."""
+    placed = time_slices(df, ts, key, folds)
+    out = placed.withColumn("fold", F.explode(F.sequence(F.greatest(F.col("slice") - 1, F.lit(0)), F.lit(folds - 1))))
+    role = F.when(F.col("slice") == F.col("fold") + 1, "test").otherwise("train")
+    return out.withColumn("role", role).drop("slice")
 
 
 def oversample(df: DataFrame, target: str = "future_spend_30d", extra: int = 3) -> DataFrame:

@@ -13,7 +13,7 @@ from tillsight.models.prep import label_codes, label_encode
 from tillsight.models.scoring import SpendPredictor
 from tillsight.models.twostage import fit_two_stage, hard_decision
 from tillsight.models.variants import fit_and_score, ridge_grid
-from tillsight.operators.splits import temporal_split, time_series_folds, validation_tail
+from tillsight.operators.splits import temporal_split, validation_tail
 from tillsight.plans.feature_job import coded_columns
 from tillsight.session import cut_lineage
 
@@ -70,7 +70,7 @@ def compare_models(
     train, test = coded_on_train(*split_features(features, ts), numeric)
     choices = {
         "Linear Regression": e.linear(),
-        "Ridge Regression": e.ridge(train.withColumn("label", F.col(TARGET).cast("double")), best_alpha(train, numeric, ts)),
+        "Ridge Regression": e.ridge(best_alpha(train, numeric, ts)),
         "Random Forest": e.forest("forest_200x12"),
         "Gradient Boosting": e.regularised("boost_200x6"),
     }
@@ -91,8 +91,7 @@ def compare_models(
 
 def best_alpha(train: DataFrame, names: Sequence[str], ts: str) -> float:
     """The ridge penalty with the smallest mean error on time folds of the training rows."""
-    folded = cut_lineage(time_series_folds(train, ts))
-    return float(ridge_grid(folded, names, e.RIDGE_ALPHAS).first()["alpha"])
+    return float(ridge_grid(train, names, e.RIDGE_ALPHAS, ts=ts).first()["alpha"])
 
 
 def best_of(models: dict[str, SpendPredictor], board: DataFrame) -> SpendPredictor:
