@@ -4,7 +4,7 @@ A task adds up the products of its rows' columns as matrices and hands on one nu
 pair of columns, so the shuffle and the plan do not grow with rows or with the square of the
 columns. All penalties, and all folds made of slices, are then solved from the sums.
 
-Columns are shifted by the values of one row before they are multiplied, which keeps digits
+Columns are shifted by one of their first values before they are multiplied, which keeps digits
 that a large mean would cost; results do not depend on the shift. Nulls are left out pair by pair.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A column whose rest, after the columns before it, is less than this share of its own squares depends on them.
 DEPENDENT = 1e-9
 CHUNK = 8192  # rows that are multiplied at once
+HEAD = 100  # rows among which the shift is looked for
 SUMS = "slice long, i int, j int, n double, si double, sii double, sij double"
 
 
@@ -34,8 +35,8 @@ def pair_sums(df: DataFrame, columns: Sequence[Column], by: Column | None = None
     sum of squares of i, sum of products; shifted by ``shift_i`` and ``shift_j``."""
     values = F.array(*[c.cast("double") for c in columns]).alias("x")
     rows = df.select((F.lit(0) if by is None else by).cast("long").alias("slice"), values)
-    one = rows.select("x").first()
-    shift = [0.0 if x is None or not np.isfinite(x) else float(x) for x in one["x"]] if one else [0.0] * len(columns)
+    some = [[x for x in column if x is not None and np.isfinite(x)] for column in zip(*(r["x"] for r in rows.select("x").head(HEAD)))]
+    shift = [float(x[0]) if x else 0.0 for x in some] or [0.0] * len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
