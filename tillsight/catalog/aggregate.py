@@ -7,6 +7,7 @@ from tillsight.catalog.views import EVENTS, SPEC, order_profile
 from tillsight.operators import customer as cu
 from tillsight.operators.explore import weekend_share
 from tillsight.operators.periods import FeatureSpec, history_rows
+from tillsight.operators.upkeep import fold_days, state_measures
 from tillsight.plans import feature_job as fj
 from tillsight.sources.bindings import CATEGORIES, ORDER_CUTOFF
 
@@ -66,6 +67,27 @@ def monetary(t):
     return out.withColumn("std_order_value", F.round("std_order_value", 4))
 
 
+@query(
+    "a_upkeep", "header",
+    f"""WITH g AS (SELECT customer_id, {sql_days('transaction_date', 'lag(transaction_date) OVER (PARTITION BY customer_id ORDER BY transaction_date)')} AS gap
+         FROM header WHERE {PAST}),
+       c AS (SELECT customer_id, coalesce(avg(gap), 0) AS gap_mean, coalesce(stddev_samp(gap), 0) AS gap_std FROM g GROUP BY 1),
+       w AS (SELECT customer_id, {LIFETIME}, count(*) FILTER (WHERE {PAST}) AS frequency, {_windows_sql((30, 90))}
+         FROM header GROUP BY customer_id {HAS_PAST})
+       SELECT w.*, round(gap_mean, 4) AS gap_mean, round(gap_std, 4) AS gap_std FROM w JOIN c USING (customer_id)""",
+)
+def upkeep(t):
+    """Lifetime, look-back and cadence measures of a state that was folded month by month."""
+    spec = FeatureSpec(ORDER_CUTOFF, lookbacks=(30, 90))
+    state = fold_days(t.header, ["2000-10-01", "2000-11-01", "2000-12-01", ORDER_CUTOFF], keep=120)
+    out = state_measures(state, spec)
+    lifetime = [c for c in cu.header_features(t.header, spec, measures=cu.lifetime_measures(spec), with_target=False).columns]
+    windows = [c for c in out.columns if c.endswith(("_30d", "_90d"))]
+    named = out.withColumns({"frequency": F.col("frequency_total"), "gap_mean": F.round("avg_days_between_purchases", 4),
+                             "gap_std": F.round("std_days_between_purchases", 4), "std_order_value": F.round("std_order_value", 4)})
+    return named.select(*lifetime, "frequency", *windows, "gap_mean", "gap_std")
+
+
 @query("a_target", "header", f"SELECT customer_id, {TARGET} FROM header GROUP BY customer_id {HAS_PAST}")
 def target(t):
     return cu.header_features(t.header, SPEC, measures=[])

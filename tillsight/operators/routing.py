@@ -78,7 +78,11 @@ def tag_lines(lines: DataFrame, accepted: DataFrame) -> DataFrame:
     known = accepted.select("transaction_id", F.lit(True).alias("_accepted")).distinct()
     with_id = lines.filter(F.col("transaction_id").isNotNull()).join(known, "transaction_id", "left")
     without = lines.filter(F.col("transaction_id").isNull()).withColumn("_accepted", F.lit(None).cast("boolean"))
-    out = with_id.select(*lines.columns, "_accepted").unionByName(without)
+    return tag_matched(with_id.select(*lines.columns, "_accepted").unionByName(without))
+
+
+def tag_matched(lines: DataFrame) -> DataFrame:
+    """The reasons of lines whose ``_accepted`` tells whether their transaction was accepted (else null)."""
     rules = [
         (F.col("transaction_id").isNull(), LINE_REASONS["no_transaction"]),
         (F.col("_accepted").isNull(), LINE_REASONS["orphan"]),
@@ -87,7 +91,7 @@ def tag_lines(lines: DataFrame, accepted: DataFrame) -> DataFrame:
         (F.col("quantity").isNull(), LINE_REASONS["no_quantity"]),
         (F.col("product_id").isNull(), LINE_REASONS["no_product"]),
     ]
-    return out.withColumn(REASON, first_reason(rules))
+    return lines.withColumn(REASON, first_reason(rules))
 
 
 def accepted_lines(tagged: DataFrame) -> DataFrame:
