@@ -10,7 +10,7 @@ from tillsight.llm import topk
 
 
 def literal(rows, queries, k):
-    usable = lambda v: v and all(x is not None and np.isfinite(x) for x in v)
+    usable = lambda v: v is not None and all(x is not None and np.isfinite(x) for x in v)
     whole = {}
     table = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and usable(v)]
     for q, v in [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in queries if i is not None and usable(v)]:
@@ -39,6 +39,21 @@ def test_top_k(spark, monkeypatch, rows_per_block, group):
     assert got == literal(rows, [r for r in rows if r[0] is not None and r[0] % 50 == 0], 5)
 
 
+def test_large_and_empty_vectors(spark):
+    rng = random.Random(5)
+    big = [(1000 + i, [rng.choice([2.0**22, -(2.0**22), 4e6, 2.0**21, 0.5]) * rng.random() for _ in range(4)]) for i in range(60)]
+    rows = [*vectors(80, 4, 6), *big, (2000, [2.0**21, 1.0, -3.0, 0.25]), (2050, []), (2100, [9_000_000.0, 0.0, 0.0, 0.0]), (2150, [1.0, 2.0]), (2200, [2.0**23, 0.0])]
+    frame = spark.createDataFrame(rows, "id long, vector array<double>").repartition(3)
+    got = sorted(tuple(r) for r in topk.top_k(frame, frame.filter(F.col("id") % 50 == 0).filter("id <> 2200")).collect())
+    assert got == literal(rows, [r for r in rows if r[0] is not None and r[0] % 50 == 0 and r[0] != 2200], 5)
+
+
+def test_scores_beyond_64_bits(spark):
+    frame = spark.createDataFrame([(0, [1e30]), (50, [1e30])], "id long, vector array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(frame, frame).collect()
+
+
 def test_fewer_candidates_than_k(spark):
     rows = [(0, [1.0, 2.0]), (50, [0.5, -1.0])]
     frame = spark.createDataFrame(rows, "id long, vector array<double>")

@@ -82,7 +82,7 @@ def test_triangles_bound_every_product():
     rng = np.random.default_rng(5)
     values = np.floor(rng.normal(0, 50, (200, 10)) * rng.choice([0, 0.01, 1, 1000], (200, 1)))
     values[:20, 2:] = 0
-    part = mining.Part(mining.packed(list(range(200)), [0] * 200, list(values), [None] * 200))
+    part = mining.Part(mining.packed(0, [(i, 0, v, None) for i, v in enumerate(values)]))
     exact = values @ values.T
     share = []
     for i, found, low, high in mining.spread(part, part, np.arange(200), slice(0, 200)):

@@ -32,19 +32,17 @@ With no rows, anchors or positives there are no results.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tillsight.llm.blocks import blocks_of, exact_products, meet, whole
 from tillsight.session import cut_lineage
 
-SCALE = 256.0
 ROWS = 2048  # of a block
 GROUP = 256  # anchors that meet a block in one row
-SHELF = 16  # blocks, at most, for which a group travels once
 CHUNK = 16  # anchors whose bounds are computed at once
 SEEDS = 64  # rows that are scored first
 DIRECTIONS = np.pi / 3 * np.arange(3)  # in each plane
@@ -59,16 +57,6 @@ def usable(rows: DataFrame) -> DataFrame:
     return rows.filter("id IS NOT NULL AND label IS NOT NULL AND fits").drop("fits")
 
 
-def whole(column: pa.Array) -> list[np.ndarray]:
-    """floor(256 * x) of each vector; doubles hold these integers exactly."""
-    values, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
-    with np.errstate(over="ignore"):
-        scaled = np.floor(SCALE * values)
-    if not np.isfinite(scaled).all():
-        raise ValueError("a component is too large to be multiplied by 256")
-    return [scaled[a:b] for a, b in zip(at, at[1:])]
-
-
 def matrix(vectors: list[np.ndarray]) -> np.ndarray:
     width = max(map(len, vectors), default=0)
     out = np.zeros((len(vectors), width + width % 2))
@@ -98,8 +86,15 @@ class Part:
         self.cos, self.sin = (np.ascontiguousarray((f(angle) * share).transpose(1, 2, 0)) for f in (np.cos, np.sin))
 
 
-def packed(ids: list[int], labels: list[int], vectors: list[np.ndarray], more: list) -> bytes:
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple]]:
+    """Rows (id, label, vector, more), all of one kind."""
+    columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), whole(batch.column(2)), batch.column(3).to_pylist())
+    return ((0, row) for row in zip(*columns))
+
+
+def packed(_: int, rows: list[tuple]) -> bytes:
     """Rows of one part, ordered by label, as bytes."""
+    ids, labels, vectors, more = zip(*rows)
     order = np.argsort(labels, kind="stable")
     values = matrix([vectors[i] for i in order])
     norms, share, angle = angles(values)
@@ -110,29 +105,8 @@ def packed(ids: list[int], labels: list[int], vectors: list[np.ndarray], more: l
 
 
 def parts(rows: DataFrame, size: int) -> DataFrame:
-    """(task, number, data): up to so many rows (id, label, vector, more) of a task as one row of bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, waiting = TaskContext.get().partitionId(), 0, [[], [], [], []]
-
-        def full(n: int) -> pa.RecordBatch:
-            data = packed(*(x[:n] for x in waiting))
-            for x in waiting:
-                del x[:n]
-            return pa.RecordBatch.from_arrays([pa.array([task]), pa.array([number]), pa.array([data], pa.binary())], ["task", "number", "data"])
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, size):
-                piece = batch.slice(start, size)
-                for x, new in zip(waiting, (piece.column(0).to_pylist(), piece.column(1).to_pylist(), whole(piece.column(2)), piece.column(3).to_pylist())):
-                    x.extend(new)
-                while len(waiting[0]) >= size:
-                    yield full(size)
-                    number += 1
-        if waiting[0]:
-            yield full(size)
-
-    return rows.mapInArrow(run, "task long, number long, data binary")
+    """Up to so many rows (id, label, vector, more) of a task as one row of bytes."""
+    return blocks_of(rows, size, rows_of, packed)
 
 
 def bounds(left: Part, right: Part, some: np.ndarray, span: slice) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +139,7 @@ def products(block: Part, rows: np.ndarray, anchor: np.ndarray, norm: float) ->
     some = block.values[rows, :width]
     if norm * block.norms[rows].max(initial=0) * 2 < EXACT:
         return (some @ anchor[:width]).astype(np.int64)
-    own = [int(x) for x in anchor[:width]]
-    found = [sum(int(x) * y for x, y in zip(row, own)) for row in some]
-    if any(not -(1 << 63) <= x < 1 << 63 for x in found):
-        raise ValueError("a score does not fit into 64 bits")
-    return np.array(found, dtype=np.int64)
+    return exact_products(some, anchor[:width])
 
 
 def within(block: Part, rows: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, norm: float, windows: list[tuple], k: int) -> list[tuple]:
@@ -215,7 +185,7 @@ def stretch(labels: np.ndarray, label: int) -> slice:
     return slice(int(np.searchsorted(labels, label)), int(np.searchsorted(labels, label, side="right")))
 
 
-def positives_of(group: Part, block: Part, k: int, **_) -> Iterator[tuple]:
+def positives_of(group: Part, block: Part, k: int) -> Iterator[tuple]:
     """(anchor, row id, score) of the first k rows of each anchor's label in the block."""
     for label in np.intersect1d(group.labels, block.labels):
         own = stretch(group.labels, label)
@@ -240,36 +210,6 @@ def negatives_of(group: Part, block: Part, k: int, least: int, most: int) -> Ite
                 yield int(group.ids[i]), p["id"], p["place"], int(block.ids[row]), p["score"], int(score)
 
 
-def numbered(blocks: DataFrame) -> DataFrame:
-    """(place, data): the blocks of all tasks counted from 0."""
-    sizes = blocks.groupBy("task").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    # One short row per task.
-    starts = sizes.select("task", F.coalesce(before, F.lit(0)).alias("start"))
-    return blocks.join(F.broadcast(starts), "task").select((F.col("start") + F.col("number")).alias("place"), "data")
-
-
-def meet(index: DataFrame, groups: DataFrame, visit: Callable, names: list[str], **options) -> DataFrame:
-    """What ``visit(group, block)`` yields for every group with every block, as long columns."""
-    count, cores = index.count(), index.sparkSession.sparkContext.defaultParallelism
-    shelf = max(1, min(SHELF, count // (4 * cores)))
-    shelves = -(-count // shelf)
-    tasks = max(1, min(shelves, 4 * cores))
-    right = numbered(index).select(F.floor(F.col("place") / shelf).alias("shelf"), F.col("data").alias("block"))
-    all_shelves = F.sequence(F.lit(0).cast("long"), F.lit(max(shelves - 1, 0)).cast("long"))
-    left = groups.select(F.explode(all_shelves).alias("shelf"), F.col("data").alias("group"))
-    # Merged: the groups of a shelf stream past its blocks.
-    pairs = left.repartition(tasks, "shelf").join(right.repartition(tasks, "shelf").hint("merge"), "shelf").select("group", "block")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for group, block in zip(batch.column(0), batch.column(1)):
-                found = list(visit(Part(group.as_py()), Part(block.as_py()), **options))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found) if found else [[]] * len(names))], names)
-
-    return pairs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
-
-
 def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int = 10, least: int = 30, most: int = 90) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) for rows and
     anchors (id, label, vector): for each anchor and each of its first positives the first rows of
@@ -278,14 +218,15 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = 5, nega
     index = cut_lineage(parts(usable(rows).select("id", "label", "vector", nothing), ROWS))
     asked = usable(anchors).groupBy("id").agg(F.min(F.struct("label", "vector")).alias("row")).select("id", "row.label", "row.vector")
     asked = cut_lineage(asked)
-    found = meet(index, cut_lineage(parts(asked.select("*", nothing), GROUP)), positives_of, ["anchor", "id", "score"], k=positives)
+    first = cut_lineage(parts(asked.select("*", nothing), GROUP))
+    found = meet(index, first, lambda group, block: positives_of(Part(group), Part(block), positives), ["anchor", "id", "score"])
     place = F.row_number().over(Window.partitionBy("anchor").orderBy(F.desc("score"), "id"))
     found = found.withColumn("place", place).filter(F.col("place") <= positives)
     found = found.groupBy("anchor").agg(F.collect_list(F.struct("id", "score", "place")).alias("more"))  # so many at most
     known = asked.join(found, F.col("id") == F.col("anchor")).select("id", "label", "vector", "more")
     names = ["anchor_id", "positive_id", "place", "negative_id", "positive_score", "negative_score"]
     groups = cut_lineage(parts(known, GROUP))
-    found = meet(index, groups, negatives_of, names, k=negatives, least=least, most=most)
+    found = meet(index, groups, lambda group, block: negatives_of(Part(group), Part(block), negatives, least, most), names)
     rank = F.row_number().over(Window.partitionBy("anchor_id", "place").orderBy(F.desc("negative_score"), "negative_id"))
     found = found.withColumn("rank", rank).filter(F.col("rank") <= negatives)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

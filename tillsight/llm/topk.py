@@ -1,7 +1,7 @@
 """Exact top-k inner products over a bit-sliced index.
 
 Method: vectors become integers, floor(256 * x). The index stores blocks of rows; of each
-component's offset from the block's smallest value it keeps the high bits as bitmaps over
+component's offset from the block's smallest value it stores the high bits as bitmaps over
 the rows (the slices), next to the integers themselves. For a query, the slices of all
 components are added with bitmap arithmetic (carry-save adders, 64 rows per machine word
 and many queries at once), weighted by the high bits of the query; negative weights take
@@ -11,30 +11,30 @@ still belong to the top k, given a bound of what the low bits may add, are the b
 they are resolved by exact integer products.
 
 Queries meet all rows in blocks: one row of the joined table is a block of rows with a
-group of queries, and only k rows of a query leave it. Nothing is sampled or dropped.
-
-Vectors that are null, empty or hold null or non-finite components take no part, as rows
-or as queries; neither do rows with a null id, nor components of 2**23 and more, whose
-products are no longs. Rows that repeat an id are candidates each, but never of a query
-with their own id; a query id that repeats is asked once for each of its rows' vectors and
-answered by the best of them. Where lengths differ, missing components are 0. With fewer
-than k candidates there are fewer rows, and none for an empty table.
+group of queries, and only k rows of a query leave it. Nothing is sampled or dropped. Vectors with
+an integer beyond 31 bits have blocks and groups of their own, without slices: all their rows
+are boundary rows, and their products are exact at any size.
+
+Vectors that are null or hold null or non-finite components take no part, as rows or as
+queries; neither do rows with a null id. An empty vector has the score 0 with all. Rows that repeat an id are
+candidates each, but never of a query with their own id; a query id that repeats is asked
+once for each of its rows' vectors and answered by the best of them. Where lengths differ, missing
+components are 0. A score beyond 64 bits, or a component that 256 times overflows, is an
+error. With fewer than k candidates there are fewer rows, and none for an empty table.
 """
 
 from __future__ import annotations
 
-import struct
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tillsight.llm.arrowio import split
+from tillsight.llm.blocks import blocks_of, exact_products, meet, whole
 from tillsight.session import cut_lineage
 
-SCALE = 256.0
 ROW_BITS, QUERY_BITS = 6, 6  # high bits in the index, and of a query's components
 ROWS = 8192  # of a block
 GROUP = 512  # queries that meet a block in one row
@@ -43,43 +43,33 @@ QUERIES = 64  # queries that are added up at once
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def quantised(vector: Column) -> Column:
-    """floor(256 * x) of each component; null if the vector takes no part."""
-    fits = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(2.0**23)))
-    whole = F.transform(vector, lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("int"))
-    return F.when((F.size(vector) > 0) & fits, whole)
+WIDE = 2**30  # integers from here on are not sliced
 
 
-def blocks(vectors: DataFrame, rows: int) -> DataFrame:
-    """(block, ids, values): up to so many vectors of a task as one row of bytes."""
+def usable(vector: Column) -> Column:
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, ids, found = TaskContext.get().partitionId(), 0, [], []
-        for batch in batches:
-            for piece in split(batch, rows):
-                ids += piece.column(0).to_pylist()
-                found += [np.array(x, dtype=np.int32) for x in piece.column(1).to_pylist()]
-                while len(ids) >= rows:
-                    yield packed(part, number, ids[:rows], found[:rows])
-                    ids, found, number = ids[rows:], found[rows:], number + 1
-        if ids:
-            yield packed(part, number, ids, found)
 
-    return vectors.mapInArrow(run, "block long, ids binary, vectors binary")
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, tuple]]:
+    """Rows (id, vector), of kind 1 if they hold a large integer."""
+    for row, vector in zip(batch.column(0).to_pylist(), whole(batch.column(1))):
+        yield int(np.abs(vector).max(initial=0) >= WIDE), (row, vector)
 
 
-def packed(part: int, number: int, ids: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
-    width = max(map(len, found))
-    values = np.zeros((len(found), width), dtype="<i4")
-    for row, x in zip(values, found):
-        row[: len(x)] = x
-    data = [[(part << 32) + number], [np.array(ids, dtype="<i8").tobytes()], [struct.pack("<I", width) + values.tobytes()]]
-    return pa.RecordBatch.from_arrays([pa.array(data[0]), *(pa.array(x, pa.binary()) for x in data[1:])], ["block", "ids", "vectors"])
+def matrix(rows: list[tuple], kind: int) -> tuple[np.ndarray, np.ndarray]:
+    values = np.zeros((len(rows), max((len(v) for _, v in rows), default=0)))
+    for out, (_, v) in zip(values, rows):
+        out[: len(v)] = v
+    return np.array([i for i, _ in rows], dtype="i8"), values if kind else values.astype("i4")
 
 
-def unpacked(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
-    (width,) = struct.unpack_from("<I", vectors)
-    return np.frombuffer(ids, "<i8"), np.frombuffer(vectors, "<i4", offset=4).reshape(-1, width)
+def packed_rows(kind: int, rows: list[tuple]) -> bytes:
+    ids, values = matrix(rows, kind)
+    return pickle.dumps((ids, values, None if kind or not values.shape[1] else vars(Slices(values))))
+
+
+def packed_queries(kind: int, rows: list[tuple]) -> bytes:
+    return pickle.dumps(matrix(rows, kind))
 
 
 class Slices:
@@ -91,7 +81,7 @@ class Slices:
         low = int(values.min())
         self.shift = max(0, (int(values.max()) - low).bit_length() - ROW_BITS)
         high = (values.astype(np.int64) - low) >> self.shift
-        rest = values - low - (high << self.shift) - ((1 << self.shift) - 1) / 2
+        rest = values.astype(np.int64) - low - (high << self.shift) - ((1 << self.shift) - 1) / 2
         self.size, self.rest = (float(np.sqrt((x.astype(float) ** 2).sum(axis=1)).max()) for x in (values, rest))
         self.maps = np.zeros((self.width, ROW_BITS, self.words), dtype=np.uint64)
         for bit in range(ROW_BITS):
@@ -178,60 +168,59 @@ def boundary(sums: list[np.ndarray], allowed: np.ndarray, k: int, margin: np.nda
     return above | equal
 
 
-def best_rows(slices: Slices, ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query, row id, score) of the k best rows of the block for each query."""
+def boundary_rows(slices: Slices, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """For each query the rows of the block that may be among its k best."""
     width = slices.width
     fitted = np.zeros((len(queries), width), dtype=np.int64)
     fitted[:, : min(width, queries.shape[1])] = queries[:, :width]
     for start in range(0, len(fitted), QUERIES):
         part, own = fitted[start : start + QUERIES], query_ids[start : start + QUERIES]
-        shift = max(0, int(np.abs(part).max()).bit_length() - QUERY_BITS)
+        shift = max(0, int(np.abs(part).max(initial=0)).bit_length() - QUERY_BITS)
         # Rounded to the nearest, within the bits.
         weights = np.sign(part) * np.minimum((np.abs(part) + ((1 << shift) >> 1)) >> shift, (1 << QUERY_BITS) - 1)
         rest = part - (weights << shift)
         norm = lambda x: np.sqrt((x.astype(float) ** 2).sum(axis=1))
         unknown = norm(weights << shift) * slices.rest + norm(rest) * slices.size
-        margin = np.floor(2 * unknown / float(1 << (slices.shift + shift))).astype(np.int64) + 1
+        margin = np.floor(2 * unknown / float(1 << (slices.shift + shift)) * (1 + 1e-9)).astype(np.int64) + 1
         allowed = slices.inside[None, :] & ~bitmaps(own[:, None] == ids[None, :], slices.words)
         kept = boundary(added(slices, weights), allowed, k, margin)
         kept = np.unpackbits(kept.view("u1"), axis=1, bitorder="little")[:, : slices.rows]
-        for i, flags in enumerate(kept):
-            rows = np.flatnonzero(flags)
-            scores = values[rows].astype(np.int64) @ part[i]
-            order = np.lexsort((ids[rows], -scores))[:k]
-            for j in order:
-                yield int(own[i]), int(ids[rows[j]]), int(scores[j])
-
-
-RESULT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        yield from (np.flatnonzero(flags) for flags in kept)
+
+
+def best_rows(group: bytes, block: bytes, k: int) -> Iterator[tuple]:
+    """(query, row id, score) of the k best rows of the block for each query of the group."""
+    (query_ids, queries), (ids, values, slices) = pickle.loads(group), pickle.loads(block)
+    if slices is not None and queries.dtype == np.int32 and queries.shape[1]:
+        stored = Slices.__new__(Slices)
+        stored.__dict__.update(slices)
+        found = boundary_rows(stored, ids, query_ids, queries, k)
+    else:
+        found = (np.flatnonzero(ids != q) for q in query_ids)
+    width = min(values.shape[1], queries.shape[1])
+    for query, vector, rows in zip(query_ids, queries, found):
+        some, own = values[rows, :width], vector[:width]
+        # Below this bound no sum leaves 64 bits.
+        if width * float(np.abs(own).max(initial=0)) * float(np.abs(some).max(initial=0)) < 2.0**62 and values.dtype == queries.dtype == np.int32:
+            scores = some.astype(np.int64) @ own.astype(np.int64)
+        else:
+            scores = exact_products(some, own)
+        for j in np.lexsort((ids[rows], -scores))[:k]:
+            yield int(query), int(ids[rows[j]]), int(scores[j])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) for rows (id, vector) against rows (id, vector)."""
 
     def prepared(df: DataFrame) -> DataFrame:
-        key, vector = df.columns
-        rows = df.select(F.col(key).cast("long").alias("id"), quantised(F.col(vector)).alias("v"))
-        return rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
-
-    index = cut_lineage(blocks(prepared(vectors), ROWS))
-    asked = cut_lineage(blocks(prepared(queries).repartition(max(1, queries.sparkSession.sparkContext.defaultParallelism), "id"), GROUP))
-    # One short row per block of rows.
-    numbered = index.withColumn("number", F.row_number().over(Window.orderBy("block")) - 1).select("block", "number")
-    count = index.count()
-    rows = index.join(F.broadcast(numbered) if count < 100_000 else numbered, "block").select("number", "ids", "vectors")
-    met = asked.select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(max(count - 1, 0)))).alias("number"))
-    pairs = rows.join(met.hint("shuffle_hash"), "number")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in split(batch, 1):
-                ids, values = unpacked(piece.column(1)[0].as_py(), piece.column(2)[0].as_py())
-                query_ids, wanted = unpacked(piece.column(3)[0].as_py(), piece.column(4)[0].as_py())
-                found = list(best_rows(Slices(values), ids, values, query_ids, wanted, k))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found) if found else [[], [], []])], schema=RESULT)
-
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+        key, vector = (F.col(f"`{c}`") for c in df.columns)
+        rows = df.select(key.cast("long").alias("id"), vector.cast("array<double>").alias("v"), usable(vector).alias("fits"))
+        return rows.filter("id IS NOT NULL AND fits").drop("fits")
+
+    index = cut_lineage(blocks_of(prepared(vectors), ROWS, rows_of, packed_rows))
+    spread = max(1, queries.sparkSession.sparkContext.defaultParallelism)
+    asked = cut_lineage(blocks_of(prepared(queries).repartition(spread, "id"), GROUP, rows_of, packed_queries))
+    found = meet(index, asked, lambda group, block: best_rows(group, block, k), ["query_id", "vec_id", "score"])
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -242,11 +231,11 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
 s AS (SELECT q.vec_id AS query_id, v.vec_id,
-             list_sum(list_transform(list_zip(q.e, v.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))::BIGINT AS score
+             coalesce(list_sum(list_transform(list_zip(q.e, v.e), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
       FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
