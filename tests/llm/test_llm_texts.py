@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import pytest
@@ -389,3 +390,15 @@ def test_components(spark):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_letters_are_those_of_unicode():
+    odd = ["½", "²", "①", "Ⅷ", "3_4", "٣", "五", "ª", "é", "ʰ", "\u0301", "𝟘", "🙂", "12 ½ x"]
+    for text in [*map(chr, range(0x3000)), *odd]:
+        assert language.has_letter(text) == any(unicodedata.category(c).startswith("L") for c in text), text
+
+
+def test_numerals_without_letters_have_no_language(spark, docs):  # noqa: F811
+    trees = language.train(docs.select(F.col("doc_id").cast("string").alias("key"), "text", "lang"))
+    frame = spark.createDataFrame([(1, "½"), (2, "²"), (3, "①"), (4, "the ½")], "doc_id long, text string")
+    assert [r["lang_pred"] == "und" for r in sorted(language.predict(frame, trees).collect())] == [True, True, True, False]

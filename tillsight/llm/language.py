@@ -37,7 +37,11 @@ CONTEXT = 3  # bytes of context of the longest order
 TRAIN_ROWS = 1500  # sampled rows for each language
 UNKNOWN = "und"
 STEP = 1 << 19  # bytes that are scored at once
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # letters, and some numerals such as fractions
+
+
+def has_letter(text: str) -> bool:
+    return any(found[0].isalpha() for found in LETTER.finditer(text))
 
 
 @dataclass
@@ -200,7 +204,7 @@ def predict(docs: DataFrame, trees: Trees, id_column: str = "doc_id") -> DataFra
         model = shared.value
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [t if t and model.languages and LETTER.search(t) else "" for t in batch.column(1).to_pylist()]
+            texts = [t if t and model.languages and has_letter(t) else "" for t in batch.column(1).to_pylist()]
             bits = code_lengths(model, [fold(t) for t in texts])
             best = bits.argmin(axis=1) if model.languages else [0] * len(texts)
             names, scores, lengths = [], [], []
