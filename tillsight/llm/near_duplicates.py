@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.llm.arrowio import map_batches, texts
-from tillsight.llm.components import components
+from tillsight.llm.components import components, few_tasks, joined_components
 from tillsight.llm.hashing import WordHasher, mix
 from tillsight.llm.sized import small
 from tillsight.session import cut_lineage
@@ -122,6 +122,7 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     right = signed.select(F.col("node").alias("b"), F.col("signature").alias("t"), F.col("size").alias("n"))
     # The larger set bounds the similarity.
     rows = pairs.join(left, "a").join(right, "b").filter(F.least("m", "n") * 100 >= F.greatest("m", "n") * SHARE)
+    rows = few_tasks(rows, pairs.count())
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         least = least_matches()
@@ -189,7 +190,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         return run
 
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t"), make, "a long, b long")
+    rows = few_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t"), pairs.count())
+    return map_batches(rows, make, "a long, b long")
 
 
 def pivots(members: DataFrame) -> DataFrame:
@@ -317,14 +319,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = cut_lineage(pivots(members))
     pairs = members.join(buckets, "bucket").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = cut_lineage(plausible(pairs, nodes))
+    pairs = cut_lineage(plausible(cut_lineage(pairs), nodes))
     sets = cut_lineage(full_sets(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
     links = cut_lineage(verified(pairs, sets))
     labels = cut_lineage(components(links))
     met = cut_lineage(meetings(members, buckets, labels))
     more = open_links(docs, nodes, labels, met)
     if more is not None:
-        labels = cut_lineage(components(links.union(more)))
+        labels = cut_lineage(joined_components(labels, more))
     smallest = labels.join(nodes.select("node", "doc"), "node")
     smallest = smallest.join(smallest.groupBy("component").agg(F.min("doc").alias("least")), "component").select("node", "least")
     own = nodes.select("node", "doc").join(smallest, "node", "left").select("node", F.coalesce("least", "doc").alias("component_id"))
@@ -339,8 +341,10 @@ def open_links(docs: DataFrame, nodes: DataFrame, labels: DataFrame, met: DataFr
         return None
     wanted = met.select(F.col("c").alias("component")).distinct().join(labels, "component", "left")
     sets = cut_lineage(full_sets(docs, nodes, wanted.select(F.coalesce("node", "component").alias("node"))))
-    few = links_between(cut_lineage(open_questions(met, labels)), labels, sets)
-    return cut_lineage(few.union(links_within(neighbourhoods(met, labels), sets)))
+    found = links_between(cut_lineage(open_questions(met, labels)), labels, sets)
+    if not met.filter(F.col("several") > FEW).isEmpty():
+        found = found.union(links_within(neighbourhoods(met, labels), sets))
+    return cut_lineage(found)
 
 
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
