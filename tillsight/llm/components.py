@@ -9,9 +9,9 @@ from tillsight.session import cut_lineage
 LINKS_PER_TASK = 20_000
 
 
-def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+def few_tasks(df: DataFrame, rows: int, each: int = LINKS_PER_TASK) -> DataFrame:
     """The same rows in no more tasks than so many rows keep busy; the shuffle's own number where that is less."""
-    return df.coalesce(max(1, -(-rows // LINKS_PER_TASK)))
+    return df.coalesce(max(1, -(-rows // each)))
 
 
 def nearest(edges: DataFrame, rows: int) -> DataFrame:

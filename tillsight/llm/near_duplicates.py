@@ -45,6 +45,7 @@ SHARE = 80  # percent of the union that the intersection must have
 CELL_LEFT, CELL_RIGHT = 64, 256  # sets that are compared at once
 FEW = 8  # components of a bucket that are compared pair by pair
 STEP = 8192  # shingles that are hashed at once
+SETS_PER_TASK = 500  # pairs of full sets that are worth a task
 
 SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTORS = mix(SEEDS) | np.uint64(1)
@@ -190,7 +191,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         return run
 
-    rows = few_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t"), pairs.count())
+    rows = few_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t"), pairs.count(), SETS_PER_TASK)
     return map_batches(rows, make, "a long, b long")
 
 
