@@ -24,9 +24,10 @@ from tillsight.llm.near_duplicates import near_duplicates
 from tillsight.llm.pieces import digests, encode_decode
 from tillsight.llm.private_data import FOUND, KINDS, find_private
 from tillsight.llm.toxicity import THRESHOLD, train
-from tillsight.session import cut_lineage
+from tillsight.session import cut_lineage, owned_frames
 
-# The stages learn, so no SQL gives these rows; tests hold each stage against brute force.
+# The stages learn, so no SQL gives these rows; tests hold near duplicates and personal data against
+# brute force, and the numbers of rows of the others.
 ORACLE_SQL = None
 
 
@@ -117,5 +118,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir))
+        # Only the stage's result outlives it.
+        with owned_frames(spark):
+            docs = cut_lineage(stage(spark, docs, sf_dir), kept=True)
     return docs

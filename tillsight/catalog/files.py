@@ -13,6 +13,7 @@ from tillsight.operators import explore as ex
 from tillsight.operators import routing as r
 from tillsight.session import shared_folder
 from tillsight.sources import files as io
+from tillsight.sources.inference import infer_types, read_checked, typed
 
 
 def _folder(t):
@@ -30,6 +31,26 @@ def csv_scan(t):
     return io.read_raw(t.spark, folder, "store_sales_header").drop("customer_phone")
 
 
+@query(
+    "io_malformed_rows", "lines",
+    """WITH p AS (SELECT line_item_id, CASE WHEN line_item_id % 50 = 3 THEN 'too few fields' WHEN line_item_id % 70 = 5 THEN 'too many fields'
+         WHEN line_item_id % 90 = 7 THEN 'unbalanced quotes' END AS problem, quantity::DOUBLE AS quantity FROM lines)
+       SELECT problem, count(*) AS lines, CASE WHEN problem IS NULL THEN sum(quantity) END AS quantity FROM p GROUP BY problem""",
+)
+def malformed_rows(t):
+    """Lines written as text with planted broken ones; the types of the others are inferred."""
+    n, cells = F.col("line_item_id"), ["line_item_id", "transaction_id", "product_id", "quantity"]
+    whole = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells])
+    broken = F.when(n % 50 == 3, F.concat_ws(",", n.cast("string"), F.lit("x"))).when(n % 70 == 5, F.concat(whole, F.lit(",1")))
+    lines = t.lines.select(F.coalesce(broken.when(n % 90 == 7, F.concat(n.cast("string"), F.lit(',"open,1,2'))), whole).alias("value"))
+    folder = f"{_folder(t)}/lines"
+    lines.write.text(folder)
+    rows, rejects = read_checked(t.spark, folder, cells, header=False)
+    good = typed(rows, infer_types(rows)).agg(F.lit(None).cast("string").alias("problem"), F.count("*").alias("lines"), F.sum(F.col("quantity").cast("double")).alias("quantity"))
+    counts = rejects.groupBy("problem").agg(F.count("*").alias("lines")).withColumn("quantity", F.lit(None).cast("double"))
+    return good.unionByName(counts)
+
+
 @query("io_clean_sink", "accepted", "SELECT transaction_id, customer_id, store_id, transaction_date, total_amount::DOUBLE AS total_amount FROM accepted")
 def clean_sink(t):
     accepted = r.accepted_header(r.tag_header(t.raw_header)).withColumn("total_amount", F.col("total_amount").cast("double"))

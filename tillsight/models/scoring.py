@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -15,6 +14,7 @@ from tillsight.models.estimators import with_held_back
 from tillsight.models.prep import as_doubles, vector_stages
 from tillsight.operators.derived import prediction_band, score_tier
 from tillsight.operators.profiling import require_columns
+from tillsight.sources.bundle import load_bundle, save_bundle
 
 
 @dataclass
@@ -55,19 +55,17 @@ class SpendPredictor:
         return {"model_name": self.name, "trained_date": self.trained_date, "num_features": len(self.features), **self.metrics}
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
+        """One commit: until all parts are written, readers get the former version."""
         meta = {
             "numeric": self.numeric, "categorical": self.categorical, "metrics": self.metrics, "name": self.name,
             "log_target": self.log_target, "trained_date": self.trained_date,
         }
-        spark = SparkSession.active()
-        one = spark.createDataFrame([(json.dumps(meta),)], "meta string")
-        one.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        save_bundle(path, {"model": lambda to: self.model.write().overwrite().save(to)}, self.features, meta)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "SpendPredictor":
-        meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
-        return cls(model=PipelineModel.load(f"{path}/model"), **meta)
+    def load(cls, spark: SparkSession, path: str, features: Sequence[str] | None = None) -> "SpendPredictor":
+        folder, manifest = load_bundle(spark, path, features)
+        return cls(model=PipelineModel.load(f"{folder}/model"), **manifest["meta"])
 
 
 def describe_scores(scored: DataFrame, error, score: str = "predicted_spend_30d") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -15,6 +14,7 @@ from tillsight.functions.columns import clip
 from tillsight.models.estimators import boosted, spend_classifier, with_held_back
 from tillsight.models.prep import as_doubles, vector_stages
 from tillsight.operators.derived import target_cap
+from tillsight.sources.bundle import load_bundle, save_bundle
 
 
 @dataclass
@@ -43,19 +43,15 @@ class TwoStageModel:
         return self.transform(df.withColumns(missing) if missing else df)
 
     def save(self, path: str) -> None:
-        self.classifier.write().overwrite().save(f"{path}/classifier")
-        self.regressor.write().overwrite().save(f"{path}/regressor")
-        spark = SparkSession.active()
-        meta = json.dumps({"features": self.features, "cap": self.cap, "info": self.info})
-        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        """Both stages, cap and features as one commit."""
+        parts = {name: (lambda to, m=m: m.write().overwrite().save(to)) for name, m in (("classifier", self.classifier), ("regressor", self.regressor))}
+        save_bundle(path, parts, self.features, {"cap": self.cap, "info": self.info})
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "TwoStageModel":
-        meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
-        return cls(
-            PipelineModel.load(f"{path}/classifier"), PipelineModel.load(f"{path}/regressor"),
-            meta["features"], meta["cap"], meta["info"],
-        )
+    def load(cls, spark: SparkSession, path: str, features: Sequence[str] | None = None) -> "TwoStageModel":
+        folder, manifest = load_bundle(spark, path, features)
+        stages = (PipelineModel.load(f"{folder}/{name}") for name in ("classifier", "regressor"))
+        return cls(*stages, manifest["features"], manifest["meta"]["cap"], manifest["meta"]["info"])
 
 
 def fit_two_stage(

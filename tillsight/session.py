@@ -53,18 +53,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _written: list[list[str]] = []
 
 
-def cut_lineage(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, schema: StructType | None = None, kept: bool = False) -> DataFrame:
     """Write a frame that several jobs read to the shared folder and read it back.
 
     Model fits read their input dozens of times. From a written table a lost task
     re-reads files instead of replaying joins, and later readers keep column
     pruning, filter pushdown and real sizes, which an RDD checkpoint would hide.
-    Inside ``owned_frames`` the table is dropped at the end. A ``schema`` gives columns
+    Inside ``owned_frames`` the table is dropped at the end unless it is ``kept``. A ``schema`` gives columns
     another type that is stored alike, such as a user-defined one.
     """
     spark = df.sparkSession
     path = shared_folder(spark, f"frame-{uuid.uuid4().hex}")
-    if _written:
+    if _written and not kept:
         _written[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
