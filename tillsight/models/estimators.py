@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillsight.models.boosting import Boost, BoostedEstimator
 from tillsight.models.gram import GramRegression
@@ -33,10 +33,14 @@ CLASSIFIERS = {
 REGULARISED = {
     "boost_200x6": dict(rounds=200, depth=6, rate=0.05, row_share=0.8, column_share=0.8, min_curvature=10, l1=0.1, l2=1.0),
     "boost_500x4_columns": dict(rounds=500, depth=4, rate=0.05, row_share=0.8, column_share=0.8, min_curvature=10, l1=0.1, l2=1.0, patience=20),
+    "study_300x4": dict(rounds=300, depth=4, rate=0.05, row_share=0.8, min_weight=10, patience=20),
+    "study_300x4_spend": dict(rounds=300, depth=4, rate=0.05, row_share=0.8, min_weight=5),
+    "study_200x3_spends": dict(rounds=200, depth=3, rate=0.05, row_share=0.8, min_weight=15, objective="logistic"),
     "buckets_200x4": dict(rounds=200, depth=4, rate=0.05, min_weight=10, objective="softmax", classes=5),
 }
 # Share of the training rows that decides when a preset stops.
 VALIDATION = {
+    "study_300x4": 0.15,
     "boost_500x4": 0.1, "boost_500x4_columns": 0.1, "boost_300x4": 0.15, "boost_300x3": 0.15, "classify_300x3": 0.15,
 }
 RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
@@ -68,9 +72,13 @@ def spend_classifier(preset: str = "classify_300x3", features: str = "features",
     return _stopping(GBTClassifier(featuresCol=features, labelCol=label, seed=SEED, **CLASSIFIERS[preset]), preset)
 
 
-def regularised(preset: str = "boost_200x6", features: str = "features", label: str = "label") -> BoostedEstimator:
+def preset(name: str) -> Boost:
+    return Boost(**REGULARISED[name])
+
+
+def regularised(name: str = "boost_200x6", features: str = "features", label: str = "label") -> BoostedEstimator:
     """Second-order trees with penalties. Presets with patience stop on held-back rows."""
-    return BoostedEstimator(Boost(**REGULARISED[preset]), features, label, validation_share=VALIDATION.get(preset))
+    return BoostedEstimator(preset(name), features, label, validation_share=VALIDATION.get(name))
 
 
 def _stopping(estimator, preset: str):
@@ -88,8 +96,11 @@ def with_held_back(rows: DataFrame, estimator, key: str = "customer_id") -> Data
     share = getattr(estimator, "validation_share", None)
     if share is None or HELD_BACK in rows.columns:
         return rows
-    place = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(10_000))
-    return rows.withColumn(HELD_BACK, place >= int((1 - share) * 10_000))
+    return rows.withColumn(HELD_BACK, held_back(share, key))
+
+
+def held_back(share: float, key: str = "customer_id") -> Column:
+    return F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(10_000)) >= int((1 - share) * 10_000)
 
 
 def with_checkpoints(spark: SparkSession) -> None:

@@ -94,8 +94,12 @@ def spender_weight(target: str = "future_spend_30d", extra: int = 3) -> Column:
     return F.when(col(target) > 0, float(1 + extra)).otherwise(1.0)
 
 
+def is_active(days: int = 60) -> Column:
+    return F.col("recency_days") <= days
+
+
 def active_only(df: DataFrame, days: int = 60) -> DataFrame:
-    return df.filter(F.col("recency_days") <= days)
+    return df.filter(is_active(days))
 
 
 def spenders_only(df: DataFrame, target: str = "future_spend_30d") -> DataFrame:
