@@ -206,3 +206,21 @@ def test_one_job_for_each_level_of_all_fits(matrix, monkeypatch):
     monkeypatch.setattr(boosting, "summed", lambda *a: jobs.append(1) or inner(*a))
     fit_all(matrix, {f"m{i}": Fit(Boost(rounds=7, depth=3, min_weight=1 + i), "y") for i in range(5)})
     assert len(jobs) == 1 + 7 * 3
+
+
+def test_segment_study_bins_once(spark, tables, monkeypatch):
+    from tillsight.catalog.views import customer_table
+    from tillsight.models import estimators, variants
+    from tillsight.operators.splits import temporal_split
+    from tillsight.session import cut_lineage
+
+    for name in ("study_300x4", "study_300x4_spend", "study_200x3_spends", "buckets_200x4"):
+        monkeypatch.setitem(estimators.REGULARISED, name, {**estimators.REGULARISED[name], "rounds": 3, "min_weight": 1})
+    built, inner = [], BinnedMatrix.build
+    monkeypatch.setattr(variants.BinnedMatrix, "build", lambda *a, **k: built.append(1) or inner(*a, **k))
+    rows = cut_lineage(temporal_split(customer_table(tables)).withColumn("recency_days", F.col("recency_days") % 80))
+    names = ["total_frequency", "total_monetary", "monetary_30d", "frequency_90d"]
+    board = variants.segment_study(rows.filter("split = 'train'"), rows.filter("split = 'test'"), names).collect()
+    assert len(built) == 1 and len({r["model"] for r in board}) == 6
+    assert [r["accuracy"] is not None for r in board] == [r["model"] == "Bucket Classification" for r in board]
+    assert all(r["mae"] >= 0 for r in board if r["mae"] is not None)
