@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pickle
 
 import numpy as np
 import pytest
@@ -224,3 +225,24 @@ def test_segment_study_bins_once(spark, tables, monkeypatch):
     assert len(built) == 1 and len({r["model"] for r in board}) == 6
     assert [r["accuracy"] is not None for r in board] == [r["model"] == "Bucket Classification" for r in board]
     assert all(r["mae"] >= 0 for r in board if r["mae"] is not None)
+
+
+def test_only_splits_reach_the_driver(frame, matrix, rows, monkeypatch):
+    """Sums of several partitions meet in tasks: what comes back does not grow with bins, and the trees are the same."""
+    monkeypatch.setattr(boosting, "BLOCK", 100)
+    parted = BinnedMatrix.build(frame, FEATURES, {"y": F.col("y"), "last": (F.col("customer_id") >= 300).cast("int")}, cuts=matrix.cuts)
+    assert parted.table.rdd.getNumPartitions() > 1
+    sizes, inner = [], boosting.summed
+
+    def measured(*a):
+        found = inner(*a)
+        sizes.append(len(pickle.dumps(found)))
+        return found
+
+    fit = {"m": Fit(Boost(rounds=3, depth=2), "y", held="last")}
+    one = fit_all(matrix, fit)["m"]
+    monkeypatch.setattr(boosting, "summed", measured)
+    many = fit_all(parted, fit)["m"]
+    assert len(sizes) == 1 + 3 * 2 and max(sizes) < 2000
+    assert np.abs(one.margins(values(rows)) - many.margins(values(rows))).max() < 1e-9
+    assert np.allclose(one.history, many.history)

@@ -4,7 +4,8 @@ The features are binned once, to a byte each, in a written table of blocks (``Bi
 Any number of fits share it: each names its label, its weights (0 leaves a row out, so subsets
 are masks) and the rows it is validated on. They grow in lockstep, level by level: a job
 lets every partition add up the gradients and curvatures of its rows by (fit, class, node,
-feature, bin), and the sums, whose size does not depend on the rows, decide all splits of the level.
+feature, bin). The sums are shuffled by node and a few features, added up and searched in tasks;
+only the best split of each comes back, so what the driver gets does not depend on rows or bins.
 
 A split gains ``s(L) + s(R) - s(L + R)`` with ``s = max(|G| - l1, 0)^2 / (H + l2) / 2``, and a leaf weighs
 ``-sign(G) max(|G| - l1, 0) / (H + l2)`` times the rate. Objectives are squared error, logistic, and softmax
@@ -18,6 +19,7 @@ again from the written table and the trees. Null labels and weights leave a row
 
 from __future__ import annotations
 
+import itertools
 import json
 import pickle
 import sys
@@ -37,9 +39,10 @@ from tillsight.session import cut_lineage
 
 BINS = 256  # at most; a bin is a byte
 BLOCK = 1 << 16  # rows of a block, and of a task
-RENEW = 10  # rounds after which the margins are written anew
-CHAIN = 10  # renewals after which they are made from the table again
-FEW = 1 << 22  # numbers that the driver adds up itself
+RENEW = 3  # rounds after which the margins are written anew
+CHAIN = 32  # renewals after which they are made from the table again
+FEW = 1 << 10  # partitions whose few numbers the driver adds up itself
+TOGETHER = 8  # features whose sums travel as one record
 
 SPREAD = 0x9E3779B97F4A7C15
 
@@ -285,14 +288,17 @@ def histograms(block: dict, growing: Sequence[tuple], level: int) -> list[np.nda
     return out
 
 
-def summed(blocks: RDD, of_block: Callable[[dict], list[np.ndarray]], size: int = 1) -> list[np.ndarray] | None:
-    """The arrays of all blocks, of so many numbers, added up: in each partition, then over a tree of
-    tasks, or by the driver if they are few."""
+def summed(blocks: RDD, of_block: Callable[[dict], list[np.ndarray]], records: Callable | None = None,
+           search: Callable | None = None, tasks: int = 1) -> list | None:
+    """The arrays of all blocks added up: in each partition, then, if they are few numbers, by the driver or over
+    a tree of tasks. With ``records``, which cuts the sums of a partition into ``(*key, partition), sums``, the sums
+    of a key meet in one of so many tasks, in the order of the partitions, and only what ``search``
+    finds in them comes back. A single partition needs no shuffle."""
 
     def plus(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
         return [x + y for x, y in zip(a, b)]
 
-    def in_part(part: Iterator[dict]) -> Iterator[list[np.ndarray] | None]:
+    def in_part(part: Iterator[dict]) -> Iterator[list[np.ndarray]]:
         total = None
         for block in part:
             found = of_block(block)
@@ -300,8 +306,20 @@ def summed(blocks: RDD, of_block: Callable[[dict], list[np.ndarray]], size: int
         if total is not None:
             yield total
 
+    def together(part: Iterator[tuple]) -> Iterator[tuple]:
+        for key, same in itertools.groupby(part, key=lambda r: r[0][:-1]):
+            total = None
+            for _, found in same:
+                total = found if total is None else plus(total, found)
+            yield key, total
+
     parts = blocks.mapPartitions(in_part)
-    if blocks.getNumPartitions() * size <= FEW:
+    if records is not None:
+        cut = parts.mapPartitionsWithIndex(lambda number, part: (r for total in part for r in records(number, total)))
+        if blocks.getNumPartitions() > 1:
+            cut = cut.repartitionAndSortWithinPartitions(tasks, lambda key: hash(key[:-1]))
+        return cut.mapPartitions(lambda part: search(together(part))).collect()
+    if blocks.getNumPartitions() <= FEW:
         total = None
         for found in parts.collect():
             total = found if total is None else plus(total, found)
@@ -323,32 +341,89 @@ def leaf(g: np.ndarray, h: np.ndarray, boost: Boost) -> np.ndarray:
         return np.where(h + boost.l2 > 0, -boost.rate * shrunk(g, boost.l1) / (h + boost.l2), 0.0)
 
 
-def split_level(tree: Tree, sums: np.ndarray, boost: Boost, columns: np.ndarray, level: int) -> None:
-    """Splits the nodes of a level that gain, and sets the values of their children."""
-    first = (1 << level) - 1
-    for node in range(sums.shape[2]):
-        g, h, w = sums[0, :, node], sums[1, :, node], sums[2, :, node]
-        total = [x[0].sum() for x in (g, h, w)]
-        if not total[2]:
-            continue
-        if level == 0:
-            tree.value[0] = leaf(total[0], total[1], boost)
-        left = [np.cumsum(x, axis=1)[:, :-1] for x in (g, h, w)]
-        right = [t - x for t, x in zip(total, left)]
-        own = score(total[0], total[1], boost)
-        gain = score(left[0], left[1], boost) + score(right[0], right[1], boost) - own
-        # Sums of many numbers differ in their last digits: a child needs real rows.
-        enough = (np.minimum(left[2], right[2]) >= max(boost.min_weight, 1e-6) - 1e-9) & (np.minimum(left[1], right[1]) >= boost.min_curvature - 1e-9)
-        gain = np.where(enough & columns[:, None], gain, -np.inf)
-        best = gain.max(initial=-np.inf)
-        if not best > max(boost.min_gain, 1e-10 * abs(own), 1e-12):
-            continue
-        # Of gains that differ by rounding only, the first feature and bin.
-        feature, cut = divmod(int(np.flatnonzero(gain.ravel() >= best - 1e-10 * abs(best))[0]), gain.shape[1])
-        tree.feature[first + node], tree.bin[first + node] = feature, cut
-        child = 2 * (first + node) + 1
-        tree.value[child] = leaf(left[0][feature, cut], left[1][feature, cut], boost)
-        tree.value[child + 1] = leaf(right[0][feature, cut], right[1][feature, cut], boost)
+@dataclass
+class Split:
+    """The best cut of a node among some features (-1: none gains), the weights of its children and of itself."""
+
+    gain: float
+    feature: int
+    bin: int
+    left: float
+    right: float
+    own: float
+
+
+def best_split(total: np.ndarray, sums: np.ndarray, boost: Boost, columns: np.ndarray) -> Split:
+    """``total`` are the node's gradient, curvature and weight, ``sums`` the same by feature and bin."""
+    left = np.cumsum(sums, axis=2)[:, :, :-1]
+    right = total[:, None, None] - left
+    own = score(total[0], total[1], boost)
+    gain = score(left[0], left[1], boost) + score(right[0], right[1], boost) - own
+    # Sums of many numbers differ in their last digits: a child needs real rows.
+    enough = (np.minimum(left[2], right[2]) >= max(boost.min_weight, 1e-6) - 1e-9) & (np.minimum(left[1], right[1]) >= boost.min_curvature - 1e-9)
+    gain = np.where(enough & columns[:, None], gain, -np.inf)
+    best, weight = gain.max(initial=-np.inf), float(leaf(total[0], total[1], boost))
+    if not best > max(boost.min_gain, 1e-10 * abs(own), 1e-12):
+        return Split(-np.inf, -1, 0, 0.0, 0.0, weight)
+    # Of gains that differ by rounding only, the first feature and bin.
+    feature, cut = divmod(int(np.flatnonzero(gain.ravel() >= best - 1e-10 * abs(best))[0]), gain.shape[1])
+    child = (float(leaf(x[0][feature, cut], x[1][feature, cut], boost)) for x in (left, right))
+    return Split(float(best), feature, cut, *child, weight)
+
+
+def first_best(found: Sequence[Split]) -> Split:
+    """Of the splits of one node, in the order of their features."""
+    best = max(s.gain for s in found)
+    return next(s for s in found if best == -np.inf or s.gain >= best - 1e-10 * abs(best))
+
+
+def level_splits(blocks: RDD, growing: Sequence[tuple], level: int, cuts: Sequence[Sequence[float]],
+                 columns: Mapping[tuple[int, int], np.ndarray]) -> dict[tuple, list]:
+    """By (fit, output, node) the best splits of its groups of features, in their order; by (fit, -1, 0) its losses."""
+    boosts = {ask[0]: ask[1].boost for ask in growing}
+
+    def records(number: int, sums: list[np.ndarray]) -> Iterator[tuple]:
+        found = iter(sums)
+        for at, boost in boosts.items():
+            if level == 0:
+                yield (at, -1, 0, 0, number), [next(found)]
+            own = next(found)
+            for k, node in itertools.product(range(boost.outputs), range(1 << level)):
+                total = own[k, :, 0, node].sum(axis=1)
+                if not total[2]:
+                    continue
+                # The curvature of squared error is the weight.
+                kinds = slice(None, None, 2) if boost.objective == "squared" else slice(None)
+                for start in range(0, own.shape[2], TOGETHER):
+                    size = max(map(len, cuts[start : start + TOGETHER])) + 1
+                    yield (at, k, node, start, number), [total, own[k, kinds, start : start + TOGETHER, node, :size].copy()]
+
+    def search(sums: Iterator[tuple]) -> Iterator[tuple]:
+        for (at, k, node, start), found in sums:
+            if k < 0:
+                yield (at, k, node, start), found[0]
+                continue
+            total, own = found
+            split = best_split(total, own if len(own) == 3 else own[[0, 1, 1]], boosts[at], columns[at, k][start : start + TOGETHER])
+            if split.feature >= 0:
+                split.feature += start
+            yield (at, k, node, start), split
+
+    places = sum(b.outputs for b in boosts.values()) << level
+    tasks = min(blocks.getNumPartitions(), places * -(-len(cuts) // TOGETHER))
+    out: dict[tuple, list] = {}
+    for key, found in sorted(summed(blocks, lambda block: histograms(block, growing, level), records, search, tasks), key=lambda r: r[0]):
+        out.setdefault(key[:3], []).append(found)
+    return out
+
+
+def grow(tree: Tree, node: int, split: Split) -> None:
+    """Splits a node, given by its place in the tree, if that gains, and sets the values of its children."""
+    if node == 0:
+        tree.value[0] = split.own
+    if split.feature >= 0:
+        tree.feature[node], tree.bin[node] = split.feature, split.bin
+        tree.value[2 * node + 1], tree.value[2 * node + 2] = split.left, split.right
 
 
 def start_of(boost: Boost, sums: np.ndarray) -> np.ndarray:
@@ -398,15 +473,12 @@ def fit_all(matrix: BinnedMatrix, fits: Mapping[str, Fit]) -> dict[str, "Boosted
             if not part:
                 break
             ask = [(i, g.fit, g.done[g.kept :], g.now, number, bins) for i, g in part]
-            size = sum(g.fit.boost.outputs for _, g in part) * 3 * width * (bins << level)
-            found = iter(summed(state, lambda block, ask=ask, level=level: histograms(block, ask, level), size))
-            for _, g in part:
-                if level == 0:
-                    loss, weight = next(found)
-                    if weight:
-                        g.history.append(loss / weight)
-                for tree, own, columns in zip(g.now, next(found), g.columns):
-                    split_level(tree, own, g.fit.boost, columns, level)
+            columns = {(i, k): c for i, g in part for k, c in enumerate(g.columns)}
+            for (i, k, node), found in level_splits(state, ask, level, matrix.cuts, columns).items():
+                if k >= 0:
+                    grow(growing[i].now[k], (1 << level) - 1 + node, first_best(found))
+                elif found[0][1]:
+                    growing[i].history.append(found[0][0] / found[0][1])
         number += 1
         for _, g in active:
             g.done.append(g.now)
