@@ -75,6 +75,21 @@ def test_skewed_join_is_split(spark, tables):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_headers_with_lines_sort_neither_side(spark):
+    """Both parts hash the side with fewer rows; null and repeated keys are those of a left join."""
+    header = spark.createDataFrame([(1, 7), (1, 8), (2, 9), (None, 5)], "transaction_id long, customer_id long")
+    lines = spark.createDataFrame([(1, 10), (1, 11), (None, 12), (3, 13)], "transaction_id long, line_item_id long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = j.header_with_lines(header, lines)
+        assert "Sort" not in plan(out) and plan(out).count("ShuffledHashJoin") == 2
+        found = sorted(map(str, out.collect()))
+        assert found == sorted(map(str, header.join(lines, "transaction_id", "left").collect())) and len(found) == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_bucketed_sales_join_without_shuffle(spark, tables, tmp_path):
     header = io.write_bucketed(tables.header, "bucketed_header", "transaction_id", 4, str(tmp_path / "h"))
     lines = io.write_bucketed(tables.lines, "bucketed_lines", "transaction_id", 4, str(tmp_path / "l"))

@@ -21,9 +21,13 @@ def header_with_lines(header: DataFrame, lines: DataFrame) -> DataFrame:
     can split a skewed partition of lines in an inner join, but not on the optional
     side of an outer join. The line ids are folded to distinct ones for the second
     part, so a transaction with very many lines is one row there.
+
+    Headers and line ids, of which there are fewer, are hashed and the other side streams past
+    them: sorts of both sides took a task several times the memory.
     """
-    with_lines = header.join(lines, "transaction_id")
-    without = header.join(lines.select("transaction_id").distinct(), "transaction_id", "left_anti")
+    with_lines = header.hint("shuffle_hash").join(lines, "transaction_id")
+    ids = lines.select("transaction_id").distinct()
+    without = header.join(ids.hint("shuffle_hash"), "transaction_id", "left_anti")
     return with_lines.unionByName(without, allowMissingColumns=True)
 
 
