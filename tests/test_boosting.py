@@ -246,3 +246,23 @@ def test_only_splits_reach_the_driver(frame, matrix, rows, monkeypatch):
     assert len(sizes) == 1 + 3 * 2 and max(sizes) < 2000
     assert np.abs(one.margins(values(rows)) - many.margins(values(rows))).max() < 1e-9
     assert np.allclose(one.history, many.history)
+
+
+def test_a_stage_keeps_the_vectors_of_its_pipeline(frame):
+    """Rows pass through Python with all their columns, vectors among them; an empty frame stays empty."""
+    from pyspark.ml import Pipeline
+
+    from tillsight.models.prep import vector_stages
+
+    rows = frame.withColumn("label", F.col("kind"))
+    for boost in (Boost(rounds=3, depth=2), Boost(rounds=2, depth=2, objective="softmax", classes=4)):
+        model = Pipeline(stages=[*vector_stages(FEATURES), boosting.BoostedEstimator(boost)]).fit(rows)
+        scored = model.transform(rows)
+        assert dict(scored.dtypes)["features"] == "vector" and set(rows.columns) < set(scored.columns)
+        found = scored.collect()
+        outputs = model.stages[-1].trees.outputs(np.array([r["features"].toArray() for r in found]))
+        if boost.objective == "squared":
+            assert np.abs(outputs[:, 0] - [r["prediction"] for r in found]).max() < 1e-12
+        else:
+            assert [r["prediction"] for r in found] == [float(np.argmax(x)) for x in outputs]
+        assert len(found) == rows.count() and model.transform(rows.limit(0)).collect() == []
