@@ -50,6 +50,18 @@ def test_ridge_is_the_closed_form(spark, alpha):
     assert w == pytest.approx(np.linalg.solve(xc.T @ xc + alpha * np.eye(3), xc.T @ yc), rel=1e-10)
 
 
+def test_forest_of_all_features_sums_in_small_passes_and_grows_the_same_trees(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 6)).round(2)
+    y = np.where(x[:, 0] > 0, x[:, 1] * 3, x[:, 2]) + rng.normal(size=3000)
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, d double, e double, f double, label double")
+    rows = VectorAssembler(inputCols=list("abcdef"), outputCol="features").transform(df).coalesce(1)
+    forest = e.forest("forest_100x10").setNumTrees(10)
+    assert forest.getMaxMemoryInMB() < 256 and e.forest("forest_200x8").getMaxMemoryInMB() == 256
+    trees = [forest.setMaxMemoryInMB(mb).fit(rows).toDebugString.split("\n", 1)[1] for mb in (forest.getMaxMemoryInMB(), 256, 1)]
+    assert trees[0] == trees[1] == trees[2]
+
+
 def test_two_stage_ranges_and_round_trip(spark, split, tmp_path, quick):
     train, test = split
     model = fit_two_stage(train, FEATURES, classifier="quick", regressor="quick")
