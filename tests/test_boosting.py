@@ -248,6 +248,35 @@ def test_only_splits_reach_the_driver(frame, matrix, rows, monkeypatch):
     assert np.allclose(one.history, many.history)
 
 
+def test_few_tasks_send_one_small_record_each(frame, matrix, rows, monkeypatch):
+    """Tasks follow cores and sums, not files of blocks; their records hold numbers, no classes with their code."""
+    from pyspark import RDD
+
+    monkeypatch.setattr(boosting, "BLOCK", 10)
+    before, cores = frame.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"), frame.sparkSession.sparkContext.defaultParallelism
+    frame.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        parted = BinnedMatrix.build(frame, FEATURES, {"y": F.col("y")}, cuts=matrix.cuts)
+        assert parted.table.rdd.getNumPartitions() > cores
+        assert 1 < parted.blocks().getNumPartitions() <= cores
+        sizes, inner = [], RDD.collect
+
+        def measured(rdd):
+            frames = rdd._jrdd.collect()
+            sizes.append([len(bytes(x)) for x in frames])
+            return inner(rdd)
+
+        fit = {"m": Fit(Boost(rounds=2, depth=2), "y")}
+        one = fit_all(matrix, fit)["m"]
+        monkeypatch.setattr(RDD, "collect", measured)
+        many = fit_all(parted, fit)["m"]
+    finally:
+        frame.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", before)
+    # The sums of labels come first; sums this small are searched in one task.
+    assert len(sizes) == 1 + 2 * 2 and all(len(s) == 1 and s[0] < 1500 for s in sizes[1:])
+    assert np.abs(one.margins(values(rows)) - many.margins(values(rows))).max() < 1e-9
+
+
 def test_a_stage_keeps_the_vectors_of_its_pipeline(frame):
     """Rows pass through Python with all their columns, vectors among them; an empty frame stays empty."""
     from pyspark.ml import Pipeline
