@@ -11,6 +11,7 @@ from tillsight.operators import customer as cu
 from tillsight.operators import joins as j
 from tillsight.operators import routing as r
 from tillsight.operators.periods import FeatureSpec
+from tillsight.plans.feature_job import order_features
 from tillsight.sources import files as io
 from tillsight.sources.bindings import ORDER_CUTOFF
 
@@ -119,6 +120,15 @@ def test_feature_blocks_are_joined_without_new_shuffles(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+@pytest.mark.parametrize("family", ["momentum32", "two_stage", "interaction"])
+def test_feature_table_does_not_broadcast_customers_or_headers_of_visits(spark, tables, family):
+    """Files of these tables may look small and their rows be many."""
+    text = plan(order_features(tables.header, tables.lines, tables.customers, SPEC, family, coded=False))
+    assert "ShuffledHashJoin [customer_id" in text and "SortMergeJoin [transaction_id" in text
+    sent = [line for part in text.split("BroadcastExchange")[1:] for line in part.splitlines()[1:2]]
+    assert not [line for line in sent if "c_custkey" in line]
+
+
 def test_constants_are_computed_once(spark):
     df = QUERIES["a_hist50"](spark, SMALL)
     df.collect()
