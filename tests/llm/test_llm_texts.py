@@ -402,3 +402,19 @@ def test_numerals_without_letters_have_no_language(spark, docs):  # noqa: F811
     trees = language.train(docs.select(F.col("doc_id").cast("string").alias("key"), "text", "lang"))
     frame = spark.createDataFrame([(1, "½"), (2, "²"), (3, "①"), (4, "the ½")], "doc_id long, text string")
     assert [r["lang_pred"] == "und" for r in sorted(language.predict(frame, trees).collect())] == [True, True, True, False]
+
+
+def test_rows_of_many_blocks_are_not_broadcast(spark):
+    """They look as small as the nodes they come from, before they are dealt to blocks."""
+    ids = spark.range(30_000).withColumnRenamed("id", "node")
+    near = ids.select(F.lit(0).cast("long").alias("group"), "node", F.col("node").alias("component"), F.lit(False).alias("major"))
+    sets = ids.withColumn("shingles", F.repeat(F.lit("x"), 600).cast("binary"))
+    text = near_duplicates.links_within(near, sets)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [node" in text and "BroadcastHashJoin [node" not in text
+
+
+def test_frames_of_few_values_are_not_broadcast(spark):
+    """Their files are small, their rows many."""
+    edges = spark.range(30_000).select(F.col("id").alias("a"), F.lit(-1).cast("long").alias("b"))
+    text = components.nearest(edges, 30_000)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text

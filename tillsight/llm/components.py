@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillsight.llm.sized import bounded, merged
 from tillsight.session import cut_lineage
 
 LINKS_PER_TASK = 20_000
@@ -20,7 +21,7 @@ def nearest(edges: DataFrame, rows: int) -> DataFrame:
     The minima are written first, so that Spark can split the edges of one node in the join.
     """
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("least"))
-    return few_tasks(edges.join(cut_lineage(few_tasks(least, rows)), "a"), rows)
+    return few_tasks(edges.join(merged(cut_lineage(few_tasks(least, rows)), rows), "a"), rows)
 
 
 def large_star(edges: DataFrame, rows: int) -> DataFrame:
@@ -58,11 +59,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The components (node, component) after further links (a, b): only the graph of the components is searched."""
-    named = labels.withColumnRenamed("component", "c")
+    named, rows = labels.withColumnRenamed("component", "c"), labels.count()
     for end in "ab":
         own = named.select(F.col("node").alias(end), F.col("c").alias(f"c{end}"))
-        links = links.join(own, end, "left")
-    merged = cut_lineage(components(links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
-    moved = merged.select(F.col("node").alias("c"), "component")
-    known = named.join(moved, "c", "left").select("node", F.coalesce("component", "c").alias("component"))
-    return known.union(merged.join(named.select("node"), "node", "left_anti").select("node", "component"))
+        links = links.join(merged(own, rows), end, "left")
+    found = cut_lineage(components(links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
+    moved = found.select(F.col("node").alias("c"), "component")
+    known = named.join(bounded(moved), "c", "left").select("node", F.coalesce("component", "c").alias("component"))
+    return known.union(found.join(merged(named.select("node"), rows), "node", "left_anti").select("node", "component"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillsight.llm.arrowio import map_batches, texts
 from tillsight.llm.components import components, few_tasks, joined_components
 from tillsight.llm.hashing import WordHasher, mix
-from tillsight.llm.sized import small
+from tillsight.llm.sized import bounded, merged, small
 from tillsight.session import cut_lineage
 
 BANDS, ROWS = 32, 5
@@ -122,8 +122,9 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     left = signed.select(F.col("node").alias("a"), F.col("signature").alias("s"), F.col("size").alias("m"))
     right = signed.select(F.col("node").alias("b"), F.col("signature").alias("t"), F.col("size").alias("n"))
     # The larger set bounds the similarity.
-    rows = pairs.join(left, "a").join(right, "b").filter(F.least("m", "n") * 100 >= F.greatest("m", "n") * SHARE)
-    rows = few_tasks(rows, pairs.count())
+    count = pairs.count()
+    rows = merged(pairs, count).join(left, "a").join(right, "b").filter(F.least("m", "n") * 100 >= F.greatest("m", "n") * SHARE)
+    rows = few_tasks(rows, count)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         least = least_matches()
@@ -155,7 +156,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted nodes, made again from their texts."""
-    wanted = cut_lineage(nodes.select("node", "doc").join(wanted.distinct(), "node"))
+    wanted = cut_lineage(bounded(nodes.select("node", "doc")).join(wanted.distinct(), "node"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(small(wanted), F.col("doc_id").eqNullSafe(F.col("doc"))).select("node", "text")
 
@@ -191,7 +192,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         return run
 
-    rows = few_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t"), pairs.count(), SETS_PER_TASK)
+    count = pairs.count()
+    rows = few_tasks(merged(pairs, count).join(left, "a").join(right, "b").select("a", "b", "s", "t"), count, SETS_PER_TASK)
     return map_batches(rows, make, "a long, b long")
 
 
@@ -203,7 +205,7 @@ def pivots(members: DataFrame) -> DataFrame:
 
 def meetings(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, c, several): components that met in a bucket beside its pivot, where there are several."""
-    met = members.join(buckets, "bucket").filter("node <> pivot").join(labels, "node", "left")
+    met = members.join(bounded(buckets), "bucket").filter("node <> pivot").join(bounded(labels), "node", "left")
     met = met.select("bucket", F.coalesce("component", "node").alias("c")).distinct()
     counts = met.groupBy("bucket").agg(F.count("*").alias("several")).filter("several > 1")
     return met.join(counts, "bucket")
@@ -213,7 +215,7 @@ def open_questions(met: DataFrame, labels: DataFrame) -> DataFrame:
     """(left, right): pairs of components that met in a bucket of few. Left is the smaller one."""
     few = met.filter(F.col("several") <= FEW).select("bucket", "c")
     sizes = labels.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("size"))
-    sized = few.join(sizes, "c", "left").select("bucket", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "c").alias("x"))
+    sized = few.join(merged(sizes, labels.count()), "c", "left").select("bucket", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "c").alias("x"))
     pairs = sized.join(sized.select("bucket", F.col("x").alias("y")), "bucket").filter("x < y")
     return pairs.select(F.col("x.c").alias("left"), F.col("y.c").alias("right")).distinct()
 
@@ -224,8 +226,9 @@ def neighbourhoods(met: DataFrame, labels: DataFrame) -> DataFrame:
     many = met.filter(F.col("several") > FEW)
     # A bucket and a component are both 64-bit hashes here: nodes of one graph.
     groups = components(many.select(F.col("bucket").alias("a"), F.col("c").alias("b")))
-    placed = many.select("c").distinct().join(groups, F.col("c") == F.col("node")).select(F.col("component").alias("group"), "c")
-    nodes = placed.join(labels.select(F.col("component").alias("c"), "node"), "c", "left")
+    placed = many.select("c").distinct().join(merged(groups, many.count()), F.col("c") == F.col("node"))
+    placed = placed.select(F.col("component").alias("group"), "c")
+    nodes = placed.join(bounded(labels.select(F.col("component").alias("c"), "node")), "c", "left")
     nodes = cut_lineage(nodes.select("group", "c", F.coalesce("node", "c").alias("node")))
     sizes = nodes.groupBy("group", "c").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("group").agg(F.max(F.struct("size", "c")).alias("top")).select("group", F.col("top.c").alias("top"))
@@ -243,7 +246,7 @@ def links_within(near: DataFrame, sets: DataFrame) -> DataFrame:
     others = F.when(F.col("major"), F.sequence(F.lit(0), F.col("m") - 1)).otherwise(F.sequence(F.lit(0), F.col("m") + F.col("n") - 1))
     rows = rows.select("group", "node", "component", "block", F.explode(others).alias("other"))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    rows = rows.join(sets, "node").select("group", "low", "high", "node", "component", "block", "shingles")
+    rows = merged(rows, near.count()).join(sets, "node").select("group", "low", "high", "node", "component", "block", "shingles")
 
     def cell(table: pa.Table) -> pa.Table:
         low = table["low"][0].as_py()
@@ -278,11 +281,12 @@ def linked(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def links_between(questions: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): a link between the two components of each question that has one, found in cells of sets."""
-    asked = questions.select(F.col("left").alias("component"), "right").join(labels, "component", "left")
+    known = bounded(labels)
+    asked = questions.select(F.col("left").alias("component"), "right").join(known, "component", "left")
     asked = asked.select("right", F.coalesce("node", "component").alias("a")).distinct()
     loads = asked.groupBy("right").agg(F.count("*").alias("lefts"))
     targets = questions.select("right").distinct().join(loads, "right")
-    members = targets.join(labels.withColumnRenamed("component", "right"), "right", "left")
+    members = targets.join(merged(labels.withColumnRenamed("component", "right"), labels.count()), "right", "left")
     members = members.select("right", "lefts", F.coalesce("node", "right").alias("b"))
     counts = members.groupBy("right").agg(F.count("*").alias("rights"))
     columns = F.ceil(F.col("rights") / CELL_RIGHT).cast("int")
@@ -319,7 +323,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = cut_lineage(nodes)
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = cut_lineage(pivots(members))
-    pairs = members.join(buckets, "bucket").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = members.join(bounded(buckets), "bucket").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     pairs = cut_lineage(plausible(cut_lineage(pairs), nodes))
     sets = cut_lineage(full_sets(docs, nodes, pairs.select(F.col("a").alias("node")).union(pairs.select("b"))))
     links = cut_lineage(verified(pairs, sets))
@@ -328,10 +332,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = open_links(docs, nodes, labels, met)
     if more is not None:
         labels = cut_lineage(joined_components(labels, more))
-    smallest = labels.join(nodes.select("node", "doc"), "node")
+    smallest = bounded(labels).join(nodes.select("node", "doc"), "node")
     smallest = smallest.join(smallest.groupBy("component").agg(F.min("doc").alias("least")), "component").select("node", "least")
     own = nodes.select("node", "doc").join(smallest, "node", "left").select("node", F.coalesce("least", "doc").alias("component_id"))
-    out = rows.select("doc_id", "version", "size", "node").join(cut_lineage(own), "node", "left")
+    out = rows.select("doc_id", "version", "size", "node").join(bounded(cut_lineage(own)), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "version", F.col("size").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -340,7 +344,7 @@ def open_links(docs: DataFrame, nodes: DataFrame, labels: DataFrame, met: DataFr
     """(a, b): the links that the comparisons with pivots left open."""
     if met.isEmpty():
         return None
-    wanted = met.select(F.col("c").alias("component")).distinct().join(labels, "component", "left")
+    wanted = met.select(F.col("c").alias("component")).distinct().join(bounded(labels), "component", "left")
     sets = cut_lineage(full_sets(docs, nodes, wanted.select(F.coalesce("node", "component").alias("node"))))
     found = links_between(cut_lineage(open_questions(met, labels)), labels, sets)
     if not met.filter(F.col("several") > FEW).isEmpty():
