@@ -295,3 +295,21 @@ def test_a_stage_keeps_the_vectors_of_its_pipeline(frame):
         else:
             assert [r["prediction"] for r in found] == [float(np.argmax(x)) for x in outputs]
         assert len(found) == rows.count() and model.transform(rows.limit(0)).collect() == []
+
+
+def test_only_the_columns_of_a_tree_are_counted():
+    """And the first feature, whose sums are those of the node; what is counted does not change."""
+    rng = np.random.default_rng(2)
+    block = {"key": np.arange(500, dtype=np.uint64), "bins": rng.integers(0, 9, (500, 4)).astype(np.uint8),
+             "columns": {"y": rng.normal(size=500)}, "margins": [np.zeros((1, 500))]}
+    tree = boosting.Tree.empty(3)
+    tree.feature[0], tree.bin[0], tree.feature[2], tree.bin[2] = 1, 4, 3, 2
+    ask = [(0, Fit(Boost(depth=3), "y"), [], [tree], 0, 9)]
+    everything = boosting.histograms(block, ask, 2)[0]
+    some = boosting.histograms(block, ask, 2, {(0, 0): np.array([False, False, True, True])})[0]
+    assert not some[:, :, 1].any() and everything[:, :, 1].any()
+    assert np.array_equal(some[:, :, [0, 2, 3]], everything[:, :, [0, 2, 3]])
+    node = np.where(block["bins"][:, 1] <= 4, 1, np.where(block["bins"][:, 3] <= 2, 5, 6))
+    assert np.array_equal(tree.leaves(block["bins"], 3), node)
+    # Rows of the left leaf are finished.
+    assert some[0, 2, 0].sum() == (node > 1).sum()
