@@ -50,3 +50,18 @@ def test_csv_to_predictions(raw, monkeypatch):
     assert len(top) == 5 and all(r["spend_category"] is not None for r in top)
     scores = [r["predicted_spend_30d"] for r in top]
     assert scores == sorted(scores, reverse=True)
+
+
+def test_best_model_builds_the_feature_table_once(spark, tables, monkeypatch):
+    from tillsight.catalog import models as m
+
+    def scored(sides):
+        return sorted(map(tuple, m.coded_on_train(*sides, m.FEATURES)[1].select("customer_id", *m.FEATURES).collect()))
+
+    expected, calls, features = scored(m._raw_sides(tables)), [], m._features
+    monkeypatch.setattr(m, "_features", lambda t: calls.append(1) or features(t))
+    monkeypatch.setattr(m, "compare_on", lambda train, test, *_, **__: (None, None))
+    monkeypatch.setattr(m, "best_of", lambda *_: None)
+    monkeypatch.setattr(m.scoring_job, "score_top", lambda model, rows, n: rows)
+    got = m.best_model(tables).select("customer_id", *m.FEATURES)
+    assert len(calls) == 1 and sorted(map(tuple, got.collect())) == expected
